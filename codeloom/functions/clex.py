@@ -98,7 +98,7 @@ _CALL = (
     # name, receiver chain or indexed name; not the declarator  type (*name)(
     rf"\b{IDENT}{_SUFFIX}*+(?=\s*+\()(?!\s*+\(\s*+\*[\s*]*+\w++\s*+\)\s*+\()"
     # (*fn)(..)  and  (*ops)->fn(..), unless it declares a function pointer
-    rf"|\(\s*+\*(?<=(?:\breturn|\belse|[^\w\s*])\s{{0,8}}\(\s{{0,8}}\*)[^()]*+\){_SUFFIX}*+(?=\s*+\()"
+    rf"|\(\s*+\*(?<=(?:\breturn|\belse|[^\w\s*])\s?\(\s?\*)[^()]*+\){_SUFFIX}*+(?=\s*+\()"
     # ((type)p)->fn(..)
     rf"|\(\s*+\([^()]*+\)[^()]*+\){_SUFFIX}++(?=\s*+\()"
 )
@@ -137,6 +137,11 @@ def without_trivia(code: Column) -> Column:
     return F.regexp_replace(code, _LITERAL_OR_TRIVIA, "$1$1$2$2 ")
 
 
+def squeezed(clean: Column) -> Column:
+    """Every run of blanks as one space, so that look-behinds stay short."""
+    return F.regexp_replace(clean, r"\s++", " ")
+
+
 # --- function definitions ---------------------------------------------------------
 
 _SCAN_STATE = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,18 +58,9 @@ def hash_embed(
         F.coalesce(F.col(tokens_col), F.array().cast("array<string>")),
         lambda t: V.md5_bucket(t, dim).cast("string"),
     )
-    counted = counter.transform(df.withColumn("_buckets", buckets)).withColumn(
-        "_dense", vector_to_array("_counts")
-    )
-    norm = F.sqrt(F.aggregate("_dense", F.lit(0.0), lambda s, x: s + x * x))
-    return counted.withColumn("_norm", norm).select(
-        *df.columns,
-        F.transform(
-            "_dense", lambda x: F.when(F.col("_norm") > 0, x / F.col("_norm")).otherwise(0.0)
-        )
-        .cast("array<float>")
-        .alias(out_col),
-    )
+    unit = Normalizer(p=2.0, inputCol="_counts", outputCol="_unit")
+    encoded = unit.transform(counter.transform(df.withColumn("_buckets", buckets)))
+    return encoded.select(*df.columns, vector_to_array("_unit", "float32").alias(out_col))
 
 
 def truncation_flag(

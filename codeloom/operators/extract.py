@@ -69,7 +69,7 @@ def function_facts(slices: DataFrame) -> DataFrame:
     """
     keep = slices.columns
     steps = (
-        slices.withColumn("_clean", clex.without_trivia(F.col("function_code")))
+        slices.withColumn("_clean", clex.squeezed(clex.without_trivia(F.col("function_code"))))
         .withColumns(
             {
                 "_header": clex.header_of(F.col("_clean")),

@@ -65,39 +65,58 @@ def histogram(df: DataFrame, columns: dict[str, Column], bins: int = 30) -> Data
     )
 
 
+# Cut points come in groups, so that a value is placed in two short scans.
+GROUP = 32
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: dict[str, Column],
     probs: tuple[float, ...] = (0.25, 0.5, 0.75),
-    pieces: int = 1000,
+    groups: int = 32,
 ) -> DataFrame:
     """``(column, prob, value)``: exact quantiles, linearly interpolated.
 
-    Approximate cut points split each column into pieces, counts per piece tell
-    which pieces hold the wanted ranks, and only the distinct values of those are
-    ordered. The cut points decide how even the pieces are, never the result, and
-    equal values collapse to one row before they are ordered.
+    Approximate cut points split each column into ``32 * groups`` pieces, counts
+    per piece tell which pieces hold the wanted ranks, and only the distinct
+    values of those are ordered. The cut points decide how even the pieces are,
+    never the result, and equal values collapse to one row before any ordering.
     """
     values = _long(df, columns)
+    pieces = GROUP * groups
     cuts = values.groupBy("column").agg(
-        F.percentile_approx("v", [i / pieces for i in range(1, pieces)], 10 * pieces).alias("_cuts")
+        F.percentile_approx("v", [i / pieces for i in range(1, pieces)], 10 * pieces).alias("_all")
+    )
+    coarse = F.transform(
+        F.sequence(F.lit(GROUP), F.lit(pieces - 1), F.lit(GROUP)),
+        lambda i: F.element_at("_all", i),
     )
     cuts_by_name = cuts.agg(
-        F.map_from_entries(F.collect_list(F.struct("column", "_cuts")))
+        F.map_from_entries(
+            F.collect_list(F.struct("column", F.struct("_all", coarse.alias("_coarse"))))
+        )
     ).scalar()
     placed = (
         values.groupBy("column", "v")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_all_cuts", cuts_by_name)
+        .withColumn("_cuts", cuts_by_name)
+        .withColumn("_cuts", F.col("_cuts")[F.col("column")])
+        .withColumn("_group", _not_above(F.col("_cuts._coarse"), F.col("v")))
         .select(
             "column",
             "v",
             "_n",
-            _piece(F.col("v"), F.col("_all_cuts")[F.col("column")]).alias("_piece"),
+            (
+                F.col("_group") * GROUP
+                + _not_above(
+                    F.slice("_cuts._all", F.col("_group") * GROUP + 1, F.lit(GROUP - 1)),
+                    F.col("v"),
+                )
+            ).alias("_piece"),
         )
     )
     sizes = placed.groupBy("column", "_piece").agg(F.sum("_n").alias("_size"))
-    # At most `pieces` rows per column.
+    # At most one row per column and piece.
     running = sizes.select(
         "column",
         "_piece",
@@ -132,7 +151,7 @@ def exact_quantiles(
     )
 
 
-def _piece(value: Column, cuts: Column) -> Column:
+def _not_above(cuts: Column, value: Column) -> Column:
     """Number of cut points that are not above ``value``."""
     return F.size(F.filter(cuts, lambda c: c <= value))
 

@@ -177,10 +177,8 @@ def _with_subsets(sets: DataFrame) -> DataFrame:
 
     A set has at most as many labels as there are classes, so this stays small.
     """
-    bits = F.sequence(F.lit(1), (F.shiftleft(F.lit(1), F.size("_set")) - 1).cast("int"))
-    chosen = F.expr(
-        "filter(_set, (label, i) -> (shiftright(_bits, i) & 1) = 1)"
-    )
+    bits = F.expr("sequence(1, shiftleft(1, size(_set)) - 1)")
+    chosen = F.expr("filter(_set, (label, i) -> (shiftright(_bits, i) & 1) = 1)")
     return (
         sets.where(F.size("_set") > 0)
         .withColumn("_bits", F.explode(bits))
