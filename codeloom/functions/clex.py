@@ -144,6 +144,7 @@ def squeezed(clean: Column) -> Column:
 
 # --- function definitions ---------------------------------------------------------
 
+_SCAN_FIELDS = ["depth", "cond", "skip", "at", "first", "is_fn", "spans"]
 _SCAN_STATE = (
     "struct<depth:int,cond:int,skip:int,at:int,first:int,is_fn:boolean,"
     "spans:array<struct<first:int,last:int>>>"
@@ -156,7 +157,7 @@ def _opens_function(chunk: Column) -> Column:
 
 
 def _opens_linkage_block(chunk: Column) -> Column:
-    return without_trivia(chunk).rlike(r'\bextern\s*""\s*\{\z')
+    return chunk.contains("extern") & without_trivia(chunk).rlike(r'\bextern\s*""\s*\{\z')
 
 
 def scan_chunks(chunk_array: Column) -> Column:
@@ -173,46 +174,49 @@ def scan_chunks(chunk_array: Column) -> Column:
 
     def step(state: Column, chunk: Column) -> Column:
         depth, cond, skip = state["depth"], state["cond"], state["skip"]
-        at, first = state["at"], state["first"]
-        directive = chunk.startswith("#")
-        if_line = directive & chunk.rlike(r"\A#[ \t]*+if")
-        else_line = directive & chunk.rlike(r"\A#[ \t]*+el")
-        end_line = directive & chunk.rlike(r"\A#[ \t]*+endif")
-        live = ~directive & (skip == 0)
-        opens = live & chunk.endswith("{")
-        closes = live & chunk.endswith("}")
-        enters = opens & (depth == 0)
-        leaves = closes & (depth == 1)
-        return F.struct(
-            F.when(enters, F.when(_opens_linkage_block(chunk), 0).otherwise(1))
-            .when(opens, depth + 1)
-            .when(closes, F.greatest(depth - 1, F.lit(0)))
-            .otherwise(depth)
-            .alias("depth"),
-            F.when(if_line, cond + 1)
-            .when(end_line, F.greatest(cond - 1, F.lit(0)))
-            .otherwise(cond)
-            .alias("cond"),
-            F.when(else_line & (skip == 0) & (depth > 0), cond)
-            .when(end_line & (skip == cond), F.lit(0))
-            .otherwise(skip)
-            .alias("skip"),
-            (at + 1).alias("at"),
-            F.when(closes & (depth <= 1), at + 1)
-            .when(enters & _opens_linkage_block(chunk), at + 1)
-            .otherwise(first)
-            .alias("first"),
-            F.when(enters, _opens_function(chunk)).otherwise(state["is_fn"]).alias("is_fn"),
+        at, first, none = state["at"], state["first"], F.lit(0)
+
+        def moved(**changed: Column) -> Column:
+            fields = {name: state[name] for name in _SCAN_FIELDS} | changed
+            fields["at"] = at + 1
+            return F.struct(*[fields[name].alias(name) for name in _SCAN_FIELDS])
+
+        span = F.array(F.struct(first.alias("first"), at.alias("last")))
+        return (
             F.when(
-                leaves & state["is_fn"],
-                F.concat(
-                    state["spans"],
-                    F.array(F.struct(first.alias("first"), at.alias("last"))),
-                ),
+                chunk.startswith("#"),
+                F.when(chunk.rlike(r"\A#[ \t]*+if"), moved(cond=cond + 1))
+                .when(
+                    chunk.rlike(r"\A#[ \t]*+el") & (skip == 0) & (depth > 0), moved(skip=cond)
+                )
+                .when(
+                    chunk.rlike(r"\A#[ \t]*+endif"),
+                    moved(
+                        cond=F.greatest(cond - 1, none),
+                        skip=F.when(skip == cond, none).otherwise(skip),
+                    ),
+                )
+                .otherwise(moved()),
+            )
+            .when(skip > 0, moved())
+            .when(
+                chunk.endswith("{"),
+                F.when(depth > 0, moved(depth=depth + 1))
+                .when(_opens_linkage_block(chunk), moved(first=at + 1))
+                .otherwise(moved(depth=F.lit(1), is_fn=_opens_function(chunk))),
             )
-            .otherwise(state["spans"])
-            .alias("spans"),
-        ).cast(_SCAN_STATE)
+            .when(
+                chunk.endswith("}"),
+                F.when(depth > 1, moved(depth=depth - 1))
+                .when(
+                    (depth == 1) & state["is_fn"],
+                    moved(depth=none, first=at + 1, spans=F.concat(state["spans"], span)),
+                )
+                .otherwise(moved(depth=none, first=at + 1)),
+            )
+            .otherwise(moved())
+            .cast(_SCAN_STATE)
+        )
 
     return F.aggregate(chunk_array, zero, step)
 
@@ -316,10 +320,16 @@ def nesting_depth(clean: Column) -> Column:
     brackets = F.regexp_extract_all(clean, F.lit(r"[\[\](){}]"), F.lit(0))
     zero = F.expr("named_struct('depth',0,'most',0)").cast("struct<depth:int,most:int>")
 
+    def state_of(depth: Column, most: Column) -> Column:
+        return F.struct(depth.alias("depth"), most.alias("most"))
+
     def step(state: Column, bracket: Column) -> Column:
-        depth = state["depth"] + F.when(bracket.isin("(", "[", "{"), 1).otherwise(-1)
-        return F.struct(
-            depth.alias("depth"), F.greatest(state["most"], depth).alias("most")
-        ).cast("struct<depth:int,most:int>")
+        depth, most = state["depth"], state["most"]
+        return (
+            F.when(bracket.isin(")", "]", "}"), state_of(depth - 1, most))
+            .when(depth < most, state_of(depth + 1, most))
+            .otherwise(state_of(depth + 1, depth + 1))
+            .cast("struct<depth:int,most:int>")
+        )
 
     return F.aggregate(brackets, zero, step, lambda state: state["most"])

@@ -69,20 +69,21 @@ def histogram(df: DataFrame, columns: dict[str, Column], bins: int = 30) -> Data
 GROUP = 32
 
 
+def value_counts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``(column, v, n)``: distinct values with their counts, summed map-side first."""
+    return _long(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("_n"))
+
+
 def exact_quantiles(
-    df: DataFrame,
-    columns: dict[str, Column],
-    probs: tuple[float, ...] = (0.25, 0.5, 0.75),
-    groups: int = 32,
+    values: DataFrame, probs: tuple[float, ...] = (0.25, 0.5, 0.75), groups: int = 32
 ) -> DataFrame:
-    """``(column, prob, value)``: exact quantiles, linearly interpolated.
+    """``(column, prob, value)``: exact quantiles of ``value_counts``, interpolated.
 
-    Approximate cut points split each column into ``32 * groups`` pieces, counts
-    per piece tell which pieces hold the wanted ranks, and only the distinct
-    values of those are ordered. The cut points decide how even the pieces are,
-    never the result, and equal values collapse to one row before any ordering.
+    Approximate cut points split the values of each column into ``32 * groups``
+    pieces, counts per piece tell which pieces hold the wanted ranks, and only the
+    distinct values of those are ordered. The cut points decide how even the
+    pieces are, never the result. All steps read the one exchange of the counts.
     """
-    values = _long(df, columns)
     pieces = GROUP * groups
     cuts = values.groupBy("column").agg(
         F.percentile_approx("v", [i / pieces for i in range(1, pieces)], 10 * pieces).alias("_all")
@@ -97,9 +98,7 @@ def exact_quantiles(
         )
     ).scalar()
     placed = (
-        values.groupBy("column", "v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_cuts", cuts_by_name)
+        values.withColumn("_cuts", cuts_by_name)
         .withColumn("_cuts", F.col("_cuts")[F.col("column")])
         .withColumn("_group", _not_above(F.col("_cuts._coarse"), F.col("v")))
         .select(
@@ -157,21 +156,32 @@ def _not_above(cuts: Column, value: Column) -> Column:
 
 
 def describe(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """One row per column: count, mean, sample std, min, quartiles, max; 2 decimals."""
-    parts = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.count(c).alias("count"),
-            F.avg(c.cast("double")).alias("mean"),
-            F.stddev_samp(c.cast("double")).alias("std"),
-            F.min(c.cast("double")).alias("min"),
-            F.max(c.cast("double")).alias("max"),
+    """One row per column: count, mean, sample std, min, quartiles, max; 2 decimals.
+
+    The table is read once, into counts of distinct values; moments and quartiles
+    come from those. The deviation is summed around the mean, not from squares.
+    """
+    values = value_counts(df, columns)
+    v, n = F.col("v"), F.col("_n")
+    first = values.groupBy("column").agg(
+        F.sum(n).alias("count"),
+        (F.sum(v * n) / F.sum(n)).alias("mean"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+    )
+    means = first.agg(F.map_from_entries(F.collect_list(F.struct("column", "mean")))).scalar()
+    spread = (
+        values.withColumn("_means", means)
+        .select("column", "_n", (v - F.col("_means")[F.col("column")]).alias("_off"))
+        .groupBy("column")
+        .agg(
+            F.when(
+                F.sum(n) > 1, F.sqrt(F.sum(F.col("_off") * F.col("_off") * n) / (F.sum(n) - 1))
+            ).alias("std")
         )
-        for name, c in columns.items()
-    ]
-    moments = df.agg(F.array(*parts).alias("_p")).select(F.inline("_p"))
+    )
     quantiles = (
-        exact_quantiles(df, columns)
+        exact_quantiles(values)
         .groupBy("column")
         .agg(
             *[
@@ -180,10 +190,14 @@ def describe(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
             ]
         )
     )
-    return moments.join(quantiles, "column", "left").select(
-        "column",
-        "count",
-        *[F.round(c, 2).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")],
+    return (
+        first.join(spread, "column")
+        .join(quantiles, "column")
+        .select(
+            "column",
+            "count",
+            *[F.round(c, 2).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")],
+        )
     )
 
 
