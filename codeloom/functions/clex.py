@@ -54,7 +54,7 @@ _STATEMENT_FILL = (
 # Finished declarations and leading trivia before a definition, then the definition.
 _DEFINITION = (
     rf"\A(?:(?:{_STATEMENT_FILL})*+;)*+"
-    rf"(?:\s++|{BLOCK_COMMENT}|{LINE_COMMENT}|{DIRECTIVE})*+([\s\S]*+)"
+    rf"(?:\s++|{BLOCK_COMMENT}|{LINE_COMMENT}|{DIRECTIVE})*+((?s:.*+))"
 )
 
 _LITERAL_OR_TRIVIA = (

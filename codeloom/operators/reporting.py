@@ -65,54 +65,45 @@ def histogram(df: DataFrame, columns: dict[str, Column], bins: int = 30) -> Data
     )
 
 
-# Cut points come in groups, so that a value is placed in two short scans.
-GROUP = 32
+# Pieces a column is cut into before the wanted ones are ordered.
+PIECES = 32
 
 
 def value_counts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``(column, v, n)``: distinct values with their counts, summed map-side first."""
-    return _long(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("_n"))
+    """``(column, v, n)``: distinct values with their counts, summed map-side first.
+
+    The filter is always true. It keeps the count alive in readers that need only
+    the values, so that all of them share one exchange.
+    """
+    counts = _long(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > 0)
 
 
 def exact_quantiles(
-    values: DataFrame, probs: tuple[float, ...] = (0.25, 0.5, 0.75), groups: int = 32
+    values: DataFrame, probs: tuple[float, ...] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
     """``(column, prob, value)``: exact quantiles of ``value_counts``, interpolated.
 
-    Approximate cut points split the values of each column into ``32 * groups``
-    pieces, counts per piece tell which pieces hold the wanted ranks, and only the
-    distinct values of those are ordered. The cut points decide how even the
-    pieces are, never the result. All steps read the one exchange of the counts.
+    Approximate cut points split the distinct values of each column into
+    ``PIECES`` pieces, counts per piece tell which pieces hold the wanted ranks,
+    and only those are ordered. The cut points decide how even the pieces are,
+    never the result. All steps read the one exchange of the counts. The cut points
+    join as plain columns of one row per column, so placing a value is a row of
+    compiled comparisons.
     """
-    pieces = GROUP * groups
-    cuts = values.groupBy("column").agg(
-        F.percentile_approx("v", [i / pieces for i in range(1, pieces)], 10 * pieces).alias("_all")
-    )
-    coarse = F.transform(
-        F.sequence(F.lit(GROUP), F.lit(pieces - 1), F.lit(GROUP)),
-        lambda i: F.element_at("_all", i),
-    )
-    cuts_by_name = cuts.agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("column", F.struct("_all", coarse.alias("_coarse"))))
-        )
-    ).scalar()
-    placed = (
-        values.withColumn("_cuts", cuts_by_name)
-        .withColumn("_cuts", F.col("_cuts")[F.col("column")])
-        .withColumn("_group", _not_above(F.col("_cuts._coarse"), F.col("v")))
-        .select(
-            "column",
-            "v",
-            "_n",
-            (
-                F.col("_group") * GROUP
-                + _not_above(
-                    F.slice("_cuts._all", F.col("_group") * GROUP + 1, F.lit(GROUP - 1)),
-                    F.col("v"),
-                )
-            ).alias("_piece"),
+    numbers = range(1, PIECES)
+    cuts = (
+        values.groupBy("column")
+        .agg(
+            F.percentile_approx("v", [i / PIECES for i in numbers], 16 * PIECES).alias("_a")
         )
+        .selectExpr("column", *[f"_a[{i - 1}] AS _c{i}" for i in numbers])
+    )
+    placed = values.join(F.broadcast(cuts), "column").select(
+        "column",
+        "v",
+        "_n",
+        F.expr(" + ".join(f"CAST(v >= _c{i} AS INT)" for i in numbers)).alias("_piece"),
     )
     sizes = placed.groupBy("column", "_piece").agg(F.sum("_n").alias("_size"))
     # At most one row per column and piece.
@@ -150,11 +141,6 @@ def exact_quantiles(
     )
 
 
-def _not_above(cuts: Column, value: Column) -> Column:
-    """Number of cut points that are not above ``value``."""
-    return F.size(F.filter(cuts, lambda c: c <= value))
-
-
 def describe(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """One row per column: count, mean, sample std, min, quartiles, max; 2 decimals.
 
