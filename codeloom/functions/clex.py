@@ -57,10 +57,12 @@ _DEFINITION = (
     rf"(?:\s++|{BLOCK_COMMENT}|{LINE_COMMENT}|{DIRECTIVE})*+((?s:.*+))"
 )
 
+# The leading look-ahead rejects most positions with one test.
 _LITERAL_OR_TRIVIA = (
+    r"(?=[\"'/#])(?:"
     rf'(")[^"\\\n]*+(?:{_ESCAPE}[^"\\\n]*+)*+"'
     rf"|(')[^'\\\n]*+(?:{_ESCAPE}[^'\\\n]*+)*+'"
-    rf"|{BLOCK_COMMENT}|{LINE_COMMENT}|{DIRECTIVE}"
+    rf"|{BLOCK_COMMENT}|{LINE_COMMENT}|{DIRECTIVE})"
 )
 
 
@@ -95,15 +97,16 @@ _SUFFIX = (
     rf"(?:\s*+(?:->|\.)\s*+{IDENT}|\s*+\[(?:[^\[\]]++|\[[^\[\]]*+\])*+\])"
 )
 _CALL = (
+    r"(?=[A-Za-z_(])(?:"
     # name, receiver chain or indexed name; not the declarator  type (*name)(
     rf"\b{IDENT}{_SUFFIX}*+(?=\s*+\()(?!\s*+\(\s*+\*[\s*]*+\w++\s*+\)\s*+\()"
     # (*fn)(..)  and  (*ops)->fn(..), unless it declares a function pointer
     rf"|\(\s*+\*(?<=(?:\breturn|\belse|[^\w\s*])\s?\(\s?\*)[^()]*+\){_SUFFIX}*+(?=\s*+\()"
     # ((type)p)->fn(..)
-    rf"|\(\s*+\([^()]*+\)[^()]*+\){_SUFFIX}++(?=\s*+\()"
+    rf"|\(\s*+\([^()]*+\)[^()]*+\){_SUFFIX}++(?=\s*+\())"
 )
 
-_KEYWORD = r"\b(?:if|for|while|do|switch|return|break|continue|goto)\b"
+_KEYWORD = r"(?=[bcdfgirsw])\b(?:if|for|while|do|switch|return|break|continue|goto)\b"
 
 # A '*' that belongs to a named declarator of the header.
 _HEADER_STAR = r"\*(?=[\s*]*+[A-Za-z_(])"
@@ -111,7 +114,7 @@ _INITIALISER = rf"=(?:[^,;(){{}}]++|{_GROUP})*+"
 _DECLARATOR = rf"{IDENT}(?:\s*+\[[^\[\]]*+\])*+(?:\s*+{_INITIALISER})?+"
 # Declarator list  type *a, **b = x  at the start of a statement.
 _LOCAL_POINTERS = (
-    r"(?:[{};]|\bfor\s*+\()\s*+(?!(?:return|goto|else|case|sizeof)\b)"
+    r"(?=[{};f])(?:[{};]|\bfor\s*+\()\s*+(?!(?:return|goto|else|case|sizeof)\b)"
     rf"(?:{IDENT}\s*+)++(\*[\s*]*+{_DECLARATOR}"
     rf"(?:\s*+,[\s*]*+{_DECLARATOR})*+)(?=\s*+[=;,\[){{])"
 )

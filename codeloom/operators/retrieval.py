@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +22,9 @@ SLICE_ROWS = 512
 SIMILARITY_DECIMALS = 9
 
 
-def _unit(vectors) -> np.ndarray:
-    matrix = np.vstack(vectors).astype(np.float64)
+def _unit(flat: pa.Array, n: int) -> np.ndarray:
+    """Unit rows of a block whose vectors lie one after the other in ``flat``."""
+    matrix = flat.to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.float64)
     norm = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, norm, out=np.zeros_like(matrix), where=norm > 0)
 
@@ -46,7 +47,8 @@ def best_of_block(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _blocks(df: DataFrame, id_col: str, vec_col: str, label_col: str | None, n: int, name: str):
-    """One row per block of about ``BLOCK_ROWS`` rows, sorted by id.
+    """One row per block of about ``BLOCK_ROWS`` rows: ids in order, all vectors in
+    one flat array, label lists.
 
     Blocks come from a hash of the unique id, so no value of the data can make
     one of them large.
@@ -57,8 +59,16 @@ def _blocks(df: DataFrame, id_col: str, vec_col: str, label_col: str | None, n:
         F.col(vec_col).cast("array<float>").alias("vec"),
         labels.alias("labels"),
     )
-    return df.groupBy(F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias(name)).agg(
-        F.sort_array(F.collect_list(row)).alias(f"{name}_rows")
+    block = F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias(name)
+    return (
+        df.groupBy(block)
+        .agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+        .select(
+            name,
+            F.transform("_rows", lambda r: r["id"]).alias(f"{name}_ids"),
+            F.flatten(F.transform("_rows", lambda r: r["vec"])).alias(f"{name}_vecs"),
+            F.transform("_rows", lambda r: r["labels"]).alias(f"{name}_labels"),
+        )
     )
 
 
@@ -96,7 +106,7 @@ def top_k_neighbours(
     )
     if size["n"] * (size["d"] * 4 + 64) <= broadcast_bytes:
         right = F.broadcast(right)
-    pairs = left.join(right, "c").select("q_rows", "c_rows")
+    pairs = left.join(right, "c").drop("c", "q")
 
     schema = T.StructType(
         [
@@ -108,34 +118,36 @@ def top_k_neighbours(
         ]
     )
 
-    def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q_rows, c_rows in zip(batch["q_rows"], batch["c_rows"]):
-                c_ids = np.array([r["id"] for r in c_rows])
-                c_unit = _unit([r["vec"] for r in c_rows])
-                c_labels = [r["labels"] for r in c_rows]
-                for start in range(0, len(q_rows), SLICE_ROWS):
-                    part = q_rows[start : start + SLICE_ROWS]
-                    q_ids = np.array([r["id"] for r in part])
-                    sims = np.round(
-                        _unit([r["vec"] for r in part]) @ c_unit.T, SIMILARITY_DECIMALS
-                    )
-                    _, qi, ci = np.intersect1d(q_ids, c_ids, return_indices=True)
-                    sims[qi, ci] = -np.inf
+            for i in range(batch.num_rows):
+                q_ids, q_vecs, q_labels, c_ids, c_vecs, c_labels = (
+                    batch.column(f"{side}_{part}")[i].values
+                    for side in "qc"
+                    for part in ("ids", "vecs", "labels")
+                )
+                q_unit, c_unit = _unit(q_vecs, len(q_ids)), _unit(c_vecs, len(c_ids))
+                q_keys, c_keys = (x.to_numpy(zero_copy_only=False) for x in (q_ids, c_ids))
+                for start in range(0, len(q_ids), SLICE_ROWS):
+                    part = slice(start, start + SLICE_ROWS)
+                    sims = np.round(q_unit[part] @ c_unit.T, SIMILARITY_DECIMALS)
+                    _, same_q, same_c = np.intersect1d(q_keys[part], c_keys, return_indices=True)
+                    sims[same_q, same_c] = -np.inf
                     rows, cols = best_of_block(sims, k)
-                    yield pd.DataFrame(
-                        {
-                            "query_id": q_ids[rows],
-                            "neighbour_id": c_ids[cols],
-                            "similarity": sims[rows, cols],
-                            "query_labels": [part[i]["labels"] for i in rows],
-                            "neighbour_labels": [c_labels[i] for i in cols],
-                        }
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            q_ids.take(pa.array(rows + start)),
+                            c_ids.take(pa.array(cols)),
+                            pa.array(sims[rows, cols]),
+                            q_labels.take(pa.array(rows + start)),
+                            c_labels.take(pa.array(cols)),
+                        ],
+                        names=schema.names,
                     )
 
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "neighbour_id")
     ranked = (
-        pairs.mapInPandas(product, schema)
+        pairs.mapInArrow(product, schema)
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
     )

@@ -48,6 +48,14 @@ def test_top_k_equals_brute_force(spark, block_rows, broadcast_bytes):
     assert got == brute_force(rows, 5)
 
 
+def test_string_keys(spark):
+    rows = random_rows(60)
+    df = spark.createDataFrame([(f"{r[0]:03d}", r[1], r[2]) for r in rows], VEC.replace("id int", "id string"))
+    hits = Q.top_k_neighbours(df, df, 3, "id", "v", block_rows=13).orderBy("query_id", "rank").collect()
+    want = brute_force(rows, 3)
+    assert [int(h.neighbour_id) for h in hits] == [j for i in range(60) for j in want[i]]
+
+
 def test_few_rows_never_return_self(spark):
     df = spark.createDataFrame(random_rows(3), VEC)
     hits = Q.top_k_neighbours(df, df, 5, "id", "v").collect()
@@ -78,7 +86,7 @@ def test_metrics_equal_brute_force(spark):
 def test_top_k_plan_has_no_pair_explosion(spark):
     df = spark.createDataFrame(random_rows(), VEC)
     plan = Q.top_k_neighbours(df, df, 5, "id", "v")._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan and "MapInPandas" in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "MapInArrow" in plan
     assert "WindowGroupLimit" in plan
 
 
