@@ -15,7 +15,6 @@ from codeloom.session import build_session  # noqa: E402
 HEADLINE = [
     "ext1_tokenize_sources",
     "ext2_extract_functions",
-    "ext14_feature_struct",
     "ext16_corpus_stats",
     "lab2_deterministic_side_effects",
     "lab2_side_effects_from_table",
@@ -30,7 +29,6 @@ HEADLINE = [
     "rep1_histogram",
     "rep2_describe",
     "rep2_describe_features",
-    "sco3_compare_rule_and_model",
 ]
 
 

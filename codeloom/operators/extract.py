@@ -144,8 +144,16 @@ def functions_per_file(sources: DataFrame, functions: DataFrame) -> DataFrame:
 
 
 def corpus_stats(functions: DataFrame) -> DataFrame:
-    """One row: size, mean and greatest length, functions with loops and pointers."""
-    f = F.col("ast_features")
+    """One row: size, mean and greatest length, functions with loops and pointers.
+
+    Reads the flat counts of ``function_facts`` where they are, so that no other
+    count is computed, and the stored struct otherwise.
+    """
+    flat = "line_count" in functions.columns
+    f = {
+        name: F.col(name) if flat else F.col("ast_features")[name]
+        for name in ("line_count", "loop_count", "pointer_count")
+    }
     return functions.agg(
         F.count(F.lit(1)).alias("n_functions"),
         F.coalesce(F.avg(f["line_count"]), F.lit(0.0)).alias("avg_lines"),

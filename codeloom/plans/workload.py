@@ -22,13 +22,13 @@ from codeloom.schemas import FEATURE_ORDER
 from codeloom.sources import io
 from codeloom.sources.corpus import sources_from_documents, words
 from codeloom.sources.tables import (
+    corpus_facts,
     corpus_functions,
     corpus_sources,
     labelled_vectors,
     scratch,
     spread,
     table,
-    text_features,
     vectors_with_features,
 )
 from codeloom.streaming import jobs
@@ -179,9 +179,7 @@ def ext2_extract_functions(spark, sf):
 
 def _feature(name: str):
     def run(spark, sf):
-        return corpus_functions(spark, sf).select(
-            "function_id", F.col("ast_features")[name].alias(name)
-        )
+        return corpus_facts(spark, sf).select("function_id", name)
 
     return run
 
@@ -225,7 +223,7 @@ def ext15_functions_per_file(spark, sf):
 
 @query
 def ext16_corpus_stats(spark, sf):
-    return X.corpus_stats(corpus_functions(spark, sf)).withColumn(
+    return X.corpus_stats(corpus_facts(spark, sf)).withColumn(
         "avg_lines", F.round("avg_lines", 4)
     )
 
@@ -846,8 +844,7 @@ def rep2_describe(spark, sf):
 @query
 def rep2_describe_features(spark, sf):
     """Summary of the structural counts of the whole function table."""
-    features = {f: F.col("ast_features")[f] for f in FEATURE_ORDER}
-    return R.describe(corpus_functions(spark, sf), features)
+    return R.describe(corpus_facts(spark, sf), {f: F.col(f) for f in FEATURE_ORDER})
 
 
 @query

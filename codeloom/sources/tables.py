@@ -42,6 +42,11 @@ def corpus_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_functions(corpus_sources(spark, sf_dir))
 
 
+def corpus_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The function table with flat counts: a reader of one count computes only that."""
+    return extract.function_facts(extract.function_slices(corpus_sources(spark, sf_dir)))
+
+
 def label_list(label: Column) -> Column:
     """Label list of an ``embeddings`` row."""
     found = F.array_compact(
