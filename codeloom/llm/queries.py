@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from codeloom.llm import simhash
+from codeloom.llm import quality, simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
+    "op3_quality_rules": quality.op3,
 }
 
 ORACLES: dict[str, str] = {}
