@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from codeloom.llm import decontaminate, packing, pseudonyms, quality, simhash
+from codeloom.llm import chat, decontaminate, packing, pseudonyms, quality, simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
+    "op2_chat_formatting": chat.op2,
     "op3_quality_rules": quality.op3,
     "op5_packing": packing.op5,
     "op8_pseudonyms": pseudonyms.op8,
     "op9_benchmark_decontamination": decontaminate.op9,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_chat_formatting": chat.OP2_SQL,
+}
