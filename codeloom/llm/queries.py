@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from codeloom.llm import chat, decontaminate, packing, pseudonyms, quality, simhash
+from codeloom.llm import chat, decontaminate, packing, pseudonyms, quality, simhash, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_packing": packing.op5,
     "op8_pseudonyms": pseudonyms.op8,
     "op9_benchmark_decontamination": decontaminate.op9,
+    "op10_toxicity": toxicity.op10,
 }
 
 ORACLES: dict[str, str] = {
