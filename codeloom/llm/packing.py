@@ -28,6 +28,11 @@ PIECES = (
 )
 
 
+def wide_crc32(ids: bytes) -> int:
+    """crc32 of 16-bit ids written as little-endian 32-bit ones."""
+    return zlib.crc32(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
+
+
 def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, step: int = STEP) -> DataFrame:
     """Documents as token pieces of at most ``window`` ids, the end id included.
 
@@ -47,12 +52,13 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, step: int = S
             rows: list[tuple] = []
             held = 0
             for doc_id, raw in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist())):
-                ids = np.frombuffer(raw + end, "<u2").astype("<u4")
-                for start in range(0, len(ids), window):
-                    some = ids[start : start + window].tobytes()
-                    length = len(some) // 4
+                raw += end
+                total = len(raw) // 2
+                for start in range(0, total, window):
+                    some = raw[2 * start : 2 * (start + window)]
+                    length = len(some) // 2
                     size = -(-length // step)
-                    rows.append((part, size, seen[size], doc_id, start, length, len(ids), zlib.crc32(some), some))
+                    rows.append((part, size, seen[size], doc_id, start, length, total, wide_crc32(some), some))
                     seen[size] += 1
                     held += len(some)
                 if held > 8 << 20:
@@ -143,6 +149,17 @@ def plan(histogram: dict[int, int], size: int, depth: int = DEPTH, small: int =
     return out
 
 
+def _cut_batch(b: pa.RecordBatch) -> dict[str, object]:
+    column = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}
+    parts = [raw[2 * a : 2 * (a + n)] for raw, a, n in zip(column["ids"], column["skip"], column["taken"])]
+    return {
+        **{n: b.column(n) for n in ("doc_id", "doc_tokens", "sequence_id", "offset", "part", "bin", "place", "skip")},
+        "start": [s + a for s, a in zip(column["start"], column["skip"])],
+        "length": b.column("taken"),
+        "ids_crc32": [wide_crc32(x) for x in parts],
+    }
+
+
 def pack(
     docs: DataFrame,
     vocabulary: str | None = None,
@@ -151,14 +168,14 @@ def pack(
     depth: int = DEPTH,
     small: int = SMALL,
 ) -> DataFrame:
-    """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids)``, one row per piece.
+    """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``, one row per piece, and its place
+    in the written pieces: ``part, bin, place`` and ``skip`` ids into it.
 
     Documents longer than a window are cut into windows and a rest. Rests are counted by length, and
     combinations of up to ``depth`` lengths that fill a window are repeated as non-negative
     least squares finds best. What the rounded plan leaves over, and small pieces, follow
     each other in one stream that is cut at every window's end, so only its last window has more padding
-    than the rounding to steps. Every id lies in exactly one piece; ``ids`` holds them as
-    little-endian 32-bit numbers. ``window`` must be a multiple of ``step``.
+    than the rounding to steps. Every id lies in exactly one piece. ``window`` must be a multiple of ``step``.
 
     Null and empty texts are the end id alone; null doc_ids stay null; repeated rows are packed each;
     an empty table gives an empty one. Only the histogram, at most ``window / step`` rows, comes to the
@@ -213,11 +230,13 @@ def pack(
     )
     uncut = stream.where("taken = length").drop("taken")
     cut = stream.where("taken < length").drop("length", "ids_crc32")
-    part_ids = F.expr("substring(ids, int(4 * skip + 1), int(4 * taken))")
-    cut = cut.join(held.select("part", "bin", "place", "ids"), ["part", "bin", "place"]).select(
-        "doc_id", (F.col("start") + F.col("skip")).alias("start"), F.col("taken").alias("length"),
-        F.crc32(part_ids).alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
-        "part", "bin", "place", "skip",
+    # A cut piece's ids are fetched by a merge join: how many are cut grows with the input.
+    cut = cut.hint("merge").join(held.select("part", "bin", "place", "ids"), ["part", "bin", "place"])
+    cut = map_columns(
+        cut.select("doc_id", "start", "taken", "doc_tokens", "sequence_id", "offset", "part", "bin", "place", "skip", "ids"),
+        _cut_batch,
+        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
+        "part int, bin int, place long, skip long",
     )
     return whole.unionByName(uncut).unionByName(cut)
 
