@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from codeloom.llm import chat, decontaminate, packing, pseudonyms, quality, simhash, toxicity
+from codeloom.llm import chat, decontaminate, packing, pseudonyms, quality, simhash, tokencount, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
     "op2_chat_formatting": chat.op2,
     "op3_quality_rules": quality.op3,
     "op5_packing": packing.op5,
+    "op6_token_counts": tokencount.op6,
     "op8_pseudonyms": pseudonyms.op8,
     "op9_benchmark_decontamination": decontaminate.op9,
     "op10_toxicity": toxicity.op10,
