@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from codeloom.llm import chat, decontaminate, packing, pseudonyms, quality, simhash, tokencount, toxicity
+from codeloom.llm import chat, decontaminate, lm, packing, pseudonyms, quality, simhash, tokencount, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_rules": quality.op3,
     "op5_packing": packing.op5,
     "op6_token_counts": tokencount.op6,
+    "op7_lm_scores": lm.op7,
     "op8_pseudonyms": pseudonyms.op8,
     "op9_benchmark_decontamination": decontaminate.op9,
     "op10_toxicity": toxicity.op10,
