@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from codeloom.llm import chat, decontaminate, lm, packing, pseudonyms, quality, simhash, tokencount, toxicity
+from codeloom.llm import chat, decontaminate, lm, packing, pseudonyms, quality, simhash, tokencount, tokenfile, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
     "op2_chat_formatting": chat.op2,
     "op3_quality_rules": quality.op3,
+    "op4_token_ids": tokenfile.op4,
     "op5_packing": packing.op5,
     "op6_token_counts": tokencount.op6,
     "op7_lm_scores": lm.op7,
