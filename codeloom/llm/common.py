@@ -40,6 +40,13 @@ def split_words(text: bytes | None) -> list[bytes]:
     return (text or b"").split()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in views of at most ``rows`` rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_columns(
     df: DataFrame, function: Callable[[pa.RecordBatch], dict[str, object]], schema: str
 ) -> DataFrame:
@@ -51,7 +58,7 @@ def map_columns(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(target)
-        for batch in batches:
+        for batch in slices(batches):
             columns = function(batch)
             arrays = [
                 x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, type=field.type)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.llm.common import documents, map_columns
+from codeloom.llm.common import documents, map_columns, slices
 
 SEED_WORDS = 5
 LEAST_COVERAGE = 0.8
@@ -235,12 +235,12 @@ def drop_leaking(
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                texts = b.column("_utf8").to_pylist()
+            for b in slices(batches):
+                texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
                 keep = pa.array([not shared.value.leaks(t, least_coverage) for t in texts], pa.bool_())
-                yield b.drop_columns(["_utf8"]).filter(keep)
+                yield b.filter(keep)
 
-        docs = docs.withColumn("_utf8", F.col("text").cast("binary")).mapInArrow(clean, docs.schema)
+        docs = docs.mapInArrow(clean, docs.schema)
     return docs
 
 

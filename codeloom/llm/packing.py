@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from codeloom.llm import tokens
-from codeloom.llm.common import documents, map_columns, written
+from codeloom.llm.common import documents, map_columns, slices, written
 
 WINDOW = 2048
 VOCABULARY = "byte_bpe_50k.json"
@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, step: int = S
         seen: dict[int, int] = defaultdict(int)
         coder = tokens.encoder(vocabulary)
         end = np.array([tokens.END], "<u2").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[tuple] = []
             held = 0
             for doc_id, raw in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist())):

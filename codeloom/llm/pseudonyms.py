@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.llm.common import documents, map_columns
+from codeloom.llm.common import documents, map_columns, slices
 
 ROUNDS = 8
 # For tests and the registered query; a user passes a key of their own.
@@ -314,7 +314,7 @@ def replace_text(docs: DataFrame, key: bytes = SAMPLE_KEY) -> DataFrame:
     """``docs`` with pseudonyms in ``text``, all other columns and all rows as they are."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             place = b.schema.get_field_index("text")
             texts = [pseudonymise(t, key)[0] for t in b.column(place).to_pylist()]
             yield b.set_column(place, b.schema.field(place), pa.array(texts, b.schema.field(place).type))

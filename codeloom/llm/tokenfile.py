@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from codeloom.llm import rangecoder, tokens
-from codeloom.llm.common import documents, map_columns
+from codeloom.llm.common import documents, map_columns, slices
 from codeloom.sources.tables import scratch
 
 VOCABULARY = "word_bpe_49k.json"
@@ -43,7 +43,7 @@ def encoded(docs: DataFrame, vocabulary: str, stretch_ids: int = STRETCH_IDS) ->
             values = [part, stretch, len(ids), doc_ids, [len(p) // 2 for p in pieces], rangecoder.encode(ids)]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, raw in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist())):
                 doc_ids.append(doc_id)
                 pieces.append(raw + end)

@@ -18,7 +18,7 @@ STRETCHES = {
     "word_bpe_49k.json": rf"[^{BLANKS}]+",
 }
 # Distinct stretches a worker remembers, and the longest it remembers, in code points.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 LONGEST = 64
 # Code points that are split at a time.
 _AT_ONCE = 2_000_000
