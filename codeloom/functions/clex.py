@@ -66,17 +66,26 @@ _LITERAL_OR_TRIVIA = (
 )
 
 
-def _balanced(depth: int) -> str:
-    """Pattern of a parenthesised group nested at most ``depth`` levels."""
-    pattern = r"\([^()]*+\)"
+# Twice the nesting that the C standard asks a compiler for in expressions and declarators.
+NESTING = 127
+
+
+def _balanced(opening: str, closing: str, depth: int = NESTING) -> str:
+    """Pattern of a bracketed group nested at most ``depth`` levels."""
+    inner = rf"[^{opening}{closing}]"
+    pattern = rf"{opening}{inner}*+{closing}"
     for _ in range(depth):
-        pattern = rf"\((?:[^()]++|{pattern})*+\)"
+        pattern = rf"{opening}(?:{inner}++|{pattern})*+{closing}"
     return pattern
 
 
-_GROUP = _balanced(5)
+_GROUP = _balanced(r"\(", r"\)")
+_INDEX = _balanced(r"\[", r"\]")
 _ATTRIBUTE = rf"__(?:attribute|declspec|asm)\w*+\s*+{_GROUP}"
-_SIGNATURE = rf"({IDENT})\s*+({_GROUP})\s*+\z"
+# What may stand between the parameters and the body: macro words, and old-style declarations.
+_TRAILING = rf"(?:(?!(?:struct|union|enum)\b)(?:[A-Z_][A-Z0-9_]*+\b\s*+{_GROUP}|{IDENT})\s*+)*+"
+_OLD_STYLE = rf"(?:{IDENT}[^;{{}}()=]*+(?:{_GROUP}[^;{{}}()=]*+)*+;\s*+)++"
+_SIGNATURE = rf"({IDENT}|{_GROUP})\s*+({_GROUP})\s*+(?:{_OLD_STYLE}|{_TRAILING})\z"
 
 # Words of the C grammar that look like a callee but are none.
 NON_CALL_WORDS = [
@@ -93,18 +102,23 @@ CONTROL_FLOW_LABELS = [
     "break", "continue", "do_while", "for", "goto", "if", "return", "switch", "while",
 ]
 
-_SUFFIX = (
-    rf"(?:\s*+(?:->|\.)\s*+{IDENT}|\s*+\[(?:[^\[\]]++|\[[^\[\]]*+\])*+\])"
-)
+_SUFFIX = rf"\s*+(?:(?:->|\.)\s*+{IDENT}|{_INDEX})"
+# Members, indexes, and calls whose result is used further.
+_CHAIN = rf"(?:{_SUFFIX}|\s*+{_GROUP}(?=\s*+(?:->|[.\[(])))*+"
+_FN_POINTER = r"\s*+\(\s*+\*[\s*]*+\w++\s*+\)\s*+\("
+_CONDITION = rf"\b(?:if|while|for|switch)\s*+({_GROUP})"
 _CALL = (
-    r"(?=[A-Za-z_(])(?:"
+    r"(?=[A-Za-z_(])(?=("
     # name, receiver chain or indexed name; not the declarator  type (*name)(
-    rf"\b{IDENT}{_SUFFIX}*+(?=\s*+\()(?!\s*+\(\s*+\*[\s*]*+\w++\s*+\)\s*+\()"
+    rf"(?<![\w.])(?<![.>]\s)(?<!->)(?!(?:{'|'.join(NON_CALL_WORDS)})\b){IDENT}"
+    rf"(?!{_FN_POINTER}){_CHAIN}(?=\s*+\()(?!{_FN_POINTER})"
     # (*fn)(..)  and  (*ops)->fn(..), unless it declares a function pointer
-    rf"|\(\s*+\*(?<=(?:\breturn|\belse|[^\w\s*])\s?\(\s?\*)[^()]*+\){_SUFFIX}*+(?=\s*+\()"
-    # ((type)p)->fn(..)
-    rf"|\(\s*+\([^()]*+\)[^()]*+\){_SUFFIX}++(?=\s*+\())"
+    rf"|\(\s*+\*(?<=(?:\breturn|\belse|[^\w\s*)\]])\s?\(\s?\*)(?:[^()]++|{_GROUP})*+\){_CHAIN}(?=\s*+\()"
+    # (expression)->fn(..)
+    rf"|(?<![\w)\]])(?:(?<![\w)\]]\s)|(?<=\breturn\s)|(?<=\belse\s)){_GROUP}(?=\s*+(?:->|[.\[])){_CHAIN}(?=\s*+\()))"
 )
+# A callee up to and including each call within it.
+_INNER_CALL = rf"\A(?:{IDENT}|{_GROUP})(?:{_SUFFIX})*+|\s*+{_GROUP}(?:{_SUFFIX})*+"
 
 _KEYWORD = r"(?=[bcdfgirsw])\b(?:if|for|while|do|switch|return|break|continue|goto)\b"
 
@@ -147,16 +161,49 @@ def squeezed(clean: Column) -> Column:
 
 # --- function definitions ---------------------------------------------------------
 
-_SCAN_FIELDS = ["depth", "cond", "skip", "at", "first", "is_fn", "spans"]
+_SCAN_FIELDS = ["depth", "cond", "skip", "at", "first", "is_fn", "odd", "spans"]
 _SCAN_STATE = (
-    "struct<depth:int,cond:int,skip:int,at:int,first:int,is_fn:boolean,"
+    "struct<depth:int,cond:int,skip:int,at:int,first:int,is_fn:boolean,odd:int,"
     "spans:array<struct<first:int,last:int>>>"
 )
 
 
-def _opens_function(chunk: Column) -> Column:
-    """The brace that ends ``chunk`` follows ')' and no initialiser."""
-    return without_trivia(chunk).rlike(r"(?:^|;)[^;=]*\)\s*\{\z")
+# An old-style definition with leading declarations: it starts where its header does.
+_BETWEEN = rf"(?:\s|{BLOCK_COMMENT}|{LINE_COMMENT}|{DIRECTIVE})"
+_OLD_DEFINITION = (
+    rf"\A(?:(?:{_STATEMENT_FILL})*+;)*?{_BETWEEN}*+"
+    rf"((?:{IDENT}[\s*]*+)++{_GROUP}{_BETWEEN}*+"
+    rf"(?:{IDENT}[^;{{}}()=/#]*+(?:{_GROUP}[^;{{}}()=/#]*+)*+;{_BETWEEN}*+)++\{{(?s:.*+))"
+)
+# The header of a definition with old-style parameter declarations, up to its brace.
+_OLD_HEADER = rf"(?:\A|[;}}])(?:[^;=(){{}}]*[^\w;=(){{}}])?{IDENT}\s*+{_GROUP}\s*+{_OLD_STYLE}\{{\z"
+_HEADER = rf"(?:{IDENT}|\))\s*+{_GROUP}\s*+{_TRAILING}\{{\z"
+
+
+def _head(chunk_array: Column, first: Column, at: Column) -> Column:
+    """Cleaned text from the end of the last top-level block to the brace at ``at``, directives left out."""
+    parts = F.filter(F.slice(chunk_array, first + 1, at - first + 1), lambda c: ~c.startswith("#"))
+    return F.regexp_replace(without_trivia(F.array_join(parts, " ")), _ATTRIBUTE, " ")
+
+
+_FUNCTION, _KNOWN, _ODD = 0, 1, 2
+
+
+def _block_kind(head: Column) -> Column:
+    """What the brace that ends ``head`` opens: a function, which it does after a parameter list and what may
+    follow it; a type or an initialiser; or something else."""
+    last = F.substring_index(head, ";", -1)
+    return (
+        F.when(last.contains("=") | ~head.contains("("), F.when(last.rlike(r"=|\b(?:struct|union|enum)\b"), _KNOWN).otherwise(_ODD))
+        .when(last.rlike(_HEADER) | (head.contains(";") & head.rlike(_OLD_HEADER)), _FUNCTION)
+        .when(last.rlike(r"\b(?:struct|union|enum)\b"), _KNOWN)
+        .otherwise(_ODD)
+    )
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _opens_linkage_block(chunk: Column) -> Column:
@@ -168,10 +215,11 @@ def scan_chunks(chunk_array: Column) -> Column:
 
     Inside a function only the first branch of a preprocessor conditional moves
     the brace depth, so ``#if`` / ``#else`` pairs that both open a block stay
-    balanced. The brace of a linkage block is transparent.
+    balanced. The brace of a linkage block is transparent. ``odd`` counts the top-level
+    blocks that are neither function, type, initialiser nor linkage block.
     """
     zero = F.expr(
-        "named_struct('depth',0,'cond',0,'skip',0,'at',0,'first',0,'is_fn',false,"
+        "named_struct('depth',0,'cond',0,'skip',0,'at',0,'first',0,'is_fn',false,'odd',0,"
         "'spans',cast(array() as array<struct<first:int,last:int>>))"
     ).cast(_SCAN_STATE)
 
@@ -184,6 +232,12 @@ def scan_chunks(chunk_array: Column) -> Column:
             fields["at"] = at + 1
             return F.struct(*[fields[name].alias(name) for name in _SCAN_FIELDS])
 
+        opened = _once(
+            _once(_head(chunk_array, first, at), _block_kind),
+            lambda kind: moved(
+                depth=F.lit(1), is_fn=kind == _FUNCTION, odd=state["odd"] + (kind == _ODD).cast("int")
+            ),
+        )
         span = F.array(F.struct(first.alias("first"), at.alias("last")))
         return (
             F.when(
@@ -206,7 +260,7 @@ def scan_chunks(chunk_array: Column) -> Column:
                 chunk.endswith("{"),
                 F.when(depth > 0, moved(depth=depth + 1))
                 .when(_opens_linkage_block(chunk), moved(first=at + 1))
-                .otherwise(moved(depth=F.lit(1), is_fn=_opens_function(chunk))),
+                .otherwise(opened),
             )
             .when(
                 chunk.endswith("}"),
@@ -230,7 +284,11 @@ def definition_texts(chunk_array: Column, scan: Column) -> Column:
     def cut(span: Column) -> Column:
         length = span["last"] - span["first"] + 1
         text = F.array_join(F.slice(chunk_array, span["first"] + 1, length), "")
-        return F.regexp_extract(text, _DEFINITION, 1)
+        # Old-style declarations end in ';' like those that stand before a definition.
+        return _once(text, lambda t: _once(
+            F.regexp_extract(t, _DEFINITION, 1),
+            lambda plain: F.when(plain.startswith("{"), F.regexp_extract(t, _OLD_DEFINITION, 1)).otherwise(plain),
+        ))
 
     return F.transform(scan["spans"], cut)
 
@@ -298,10 +356,21 @@ def control_flow_elements(counts: Column) -> Column:
 
 
 def call_names(body: Column) -> Column:
-    """Callee texts of a cleaned body in source order, duplicates kept."""
-    found = F.regexp_extract_all(body, F.lit(_CALL), F.lit(0))
+    """Callee texts of a cleaned body in source order, duplicates kept.
+
+    A callee that contains calls is followed by the callees of these: of ``f(1)->g(2)`` they are
+    ``f(1)->g`` and ``f``.
+    """
+    found = F.regexp_extract_all(F.regexp_replace(body, _CONDITION, "$1;"), F.lit(_CALL), F.lit(1))
     names = F.transform(found, lambda name: F.regexp_replace(name, r"\s+", ""))
-    return F.filter(names, lambda name: ~name.isin(NON_CALL_WORDS))
+
+    def with_inner(name: Column) -> Column:
+        parts = F.regexp_extract_all(name, F.lit(_INNER_CALL), F.lit(0))
+        sizes = F.sequence(F.size(parts), F.lit(1), F.lit(-1))
+        several = F.transform(sizes, lambda n: F.array_join(F.slice(parts, F.lit(1), n), ""))
+        return F.when(name.contains("(") & (F.size(parts) > 1), several).otherwise(F.array(name))
+
+    return F.filter(F.flatten(F.transform(names, with_inner)), lambda name: (name != "") & ~name.isin(NON_CALL_WORDS))
 
 
 def pointer_count(header: Column, body: Column) -> Column:

@@ -121,11 +121,16 @@ def extract_functions(sources: DataFrame) -> DataFrame:
 
 
 def rejected_sources(sources: DataFrame) -> DataFrame:
-    """Files whose braces do not balance, so that a definition may be missing."""
+    """Files in which a definition may be missing: braces that do not balance, or top-level
+    blocks that are neither function, type, initialiser nor linkage block."""
     return (
         _scanned(sources)
-        .where(F.col("_scan.depth") > 0)
-        .select("file_path", F.col("_scan.depth").alias("open_braces"))
+        .where((F.col("_scan.depth") > 0) | (F.col("_scan.odd") > 0))
+        .select(
+            "file_path",
+            F.col("_scan.depth").alias("open_braces"),
+            F.col("_scan.odd").alias("unknown_blocks"),
+        )
     )
 
 

@@ -52,24 +52,25 @@ files AS (
          l_orderkey || '_' || l_linenumber AS tag
   FROM lineitem),
 line_functions AS (
-  SELECT files.*, j FROM files, (VALUES (1), (2), (3)) AS u(j) WHERE j <= n),
+  SELECT files.*, j FROM files, (VALUES (1), (2), (3), (4), (5)) AS u(j) WHERE j <= n OR n = 3),
 doc_words AS (SELECT doc_id, text, {_WORDS} AS w FROM documents),
 fns AS (
   SELECT file_path, j AS fn_no,
-    (CASE j WHEN 1 THEN 'fn_' WHEN 2 THEN 'isr_' ELSE 'calc_' END) || tag AS function_name,
-    CASE j WHEN 1 THEN q % 4 WHEN 2 THEN 2 * (q % 3) ELSE 2 END AS if_count,
-    CASE j WHEN 1 THEN q % 2 WHEN 2 THEN q % 3 + q % 2 ELSE q % 3 END AS loop_count,
+    CASE j WHEN 1 THEN 'fn_' || tag WHEN 2 THEN 'isr_' || tag WHEN 3 THEN 'calc_' || tag
+         WHEN 4 THEN 'old_' || tag ELSE '(*pick_' || tag || '(int a, int b))' END AS function_name,
+    CASE j WHEN 1 THEN q % 4 WHEN 2 THEN 2 * (q % 3) WHEN 3 THEN 2 WHEN 4 THEN 0 ELSE 1 END AS if_count,
+    CASE j WHEN 1 THEN q % 2 WHEN 2 THEN q % 3 + q % 2 WHEN 3 THEN q % 3 ELSE 0 END AS loop_count,
     CASE j WHEN 2 THEN 0 ELSE 1 END AS return_count,
     CASE j WHEN 1 THEN
            CASE WHEN q % 4 > 0 THEN 3 WHEN q % 2 > 0 OR q % 5 = 0 THEN 2 ELSE 1 END
          WHEN 2 THEN
            CASE WHEN q % 4 = 1 OR q % 3 > 0 THEN 3 WHEN q % 2 > 0 OR q % 7 = 0 THEN 2 ELSE 1 END
-         ELSE 5 END AS nesting_depth,
+         WHEN 3 THEN 5 WHEN 4 THEN 4 ELSE 3 END AS nesting_depth,
     CASE j WHEN 1 THEN 5 + q % 4 + q % 2 + CAST(q % 5 = 0 AS INTEGER)
          WHEN 2 THEN 5 + 2 * (q % 3) + q % 2 + CAST(q % 4 = 1 AS INTEGER) + CAST(q % 7 = 0 AS INTEGER)
-         ELSE 12 + q % 3 END AS line_count,
-    CASE j WHEN 1 THEN 1 + q % 3 WHEN 2 THEN 1 ELSE 3 END AS param_count,
-    CASE j WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE 7 END AS pointer_count,
+         WHEN 3 THEN 12 + q % 3 WHEN 4 THEN 7 + q % 3 ELSE 7 END AS line_count,
+    CASE j WHEN 1 THEN 1 + q % 3 WHEN 2 THEN 1 WHEN 3 THEN 3 WHEN 4 THEN 2 ELSE 1 END AS param_count,
+    CASE j WHEN 2 THEN 0 WHEN 3 THEN 7 ELSE 1 END AS pointer_count,
     CASE j WHEN 1 THEN
            (CASE WHEN q % 2 > 0 THEN 'for,' ELSE '' END)
            || (CASE WHEN q % 4 > 0 THEN 'if,' ELSE '' END) || 'return'
@@ -78,14 +79,18 @@ fns AS (
              CASE WHEN q % 3 > 0 THEN 'goto' END, CASE WHEN q % 3 > 0 THEN 'if' END,
              CASE WHEN q % 4 = 1 THEN 'switch' END, CASE WHEN q % 2 > 0 THEN 'while' END
            ], lambda x: x IS NOT NULL), ',')
-         ELSE (CASE WHEN q % 3 > 0 THEN 'continue,for,' ELSE '' END) || 'if,return'
-         END AS control_flow,
+         WHEN 3 THEN (CASE WHEN q % 3 > 0 THEN 'continue,for,' ELSE '' END) || 'if,return'
+         WHEN 4 THEN 'return' ELSE 'if,return' END AS control_flow,
     CASE j WHEN 1 THEN list_concat({_times('gpio_set_level', 'q % 4')},
              CASE WHEN q % 5 = 0 THEN ['malloc'] ELSE [] END)
          WHEN 2 THEN list_concat(list_concat(
              CASE WHEN q % 4 = 1 THEN ['dev->ops.run'] ELSE [] END,
              CASE WHEN q % 7 = 0 THEN ['(*cb)'] ELSE [] END), {_times('printf', 'q % 3')})
-         ELSE ['zalloc', 'tab[q]', 'foo', 'bar'] END AS calls,
+         WHEN 3 THEN ['zalloc', 'tab[q]', 'foo', 'bar']
+         WHEN 4 THEN list_concat(list_concat(['m[a[b[c]]]'],
+             flatten(list_transform(range(q % 3), lambda x: ['(*get(a))', 'get']))),
+             ['((T)(b))->fn', 'f(1)->g', 'f'])
+         ELSE ['((T*)b)->run', 'k'] END AS calls,
     CASE j WHEN 1 THEN
            'static int *fn_' || tag || '(int a1' || (CASE WHEN q % 3 >= 1 THEN ', int a2' ELSE '' END)
            || (CASE WHEN q % 3 >= 2 THEN ', int a3' ELSE '' END) || ')' || chr(10) || '{{' || chr(10)
@@ -104,6 +109,15 @@ fns AS (
            || (CASE WHEN q % 7 = 0 THEN '  (*cb)(n);' || chr(10) ELSE '' END)
            || repeat('  if (n) {{ goto out; }} else if (m) {{ printf("%d \\"{{\\n", n); }}' || chr(10), q % 3)
            || 'out:' || chr(10) || '  n = 0;' || chr(10) || '}}'
+         WHEN 4 THEN
+           'long old_' || tag || '(a, b)' || chr(10) || '  int a;' || chr(10) || '  char *b;' || chr(10)
+           || '{{' || chr(10) || '  m[a[b[c]]](1);' || chr(10)
+           || repeat('  (*get(a))(b);' || chr(10), q % 3)
+           || '  return ((T)(b))->fn(3) + f(1)->g(2);' || chr(10) || '}}'
+         WHEN 5 THEN
+           'int (*pick_' || tag || '(int a, int b))(void) NOEXCEPT' || chr(10) || '#ifdef X' || chr(10)
+           || '#endif' || chr(10) || '{{' || chr(10) || '  if (a) ((T *)b)->run(k(4));' || chr(10)
+           || '  return 0;' || chr(10) || '}}'
          ELSE
            'unsigned long calc_' || tag || '(const char *s, struct node **t, int (*cmp)(int, int))'
            || chr(10) || '{{' || chr(10) || '  char *p1 = zalloc(8), **p2;' || chr(10)
@@ -479,7 +493,7 @@ FROM p GROUP BY file_path""",
     "ext14_feature_struct": _from_functions(
         "function_id, " + ", ".join(f"CAST({f} AS INTEGER) AS {f}" for f in _FEATURES)
     ),
-    "ext15_functions_per_file": f"WITH {FUNCTIONS} SELECT file_path, CAST(n AS BIGINT) AS n_functions FROM files "
+    "ext15_functions_per_file": f"WITH {FUNCTIONS} SELECT file_path, CAST(CASE n WHEN 3 THEN 5 ELSE n END AS BIGINT) AS n_functions FROM files "
     "UNION ALL SELECT 'd' || doc_id || '.c', 1 FROM documents",
     "ext16_corpus_stats": _from_functions(
         "count(*) AS n_functions, round(avg(line_count), 4) AS avg_lines, "

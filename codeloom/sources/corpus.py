@@ -31,7 +31,7 @@ def lineitem_path() -> Column:
 
 
 def sources_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """One C file per row with ``l_linenumber % 4`` function definitions."""
+    """One C file per row with ``l_linenumber % 4`` function definitions, and two more where it is 3."""
     q = F.col("l_quantity").cast("int")
     tag = F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
 
@@ -68,6 +68,15 @@ def sources_from_lineitem(lineitem: DataFrame) -> DataFrame:
         times("  for (int i = 0; i < 3; i++) { continue; }\n", q % 3),
         F.lit("  return sizeof(x) + foo(bar(1));\n}\n"),
     )
+    old_style = F.concat(
+        F.lit("\nlong old_"), tag, F.lit("(a, b)\n  int a;\n  char *b;\n{\n  m[a[b[c]]](1);\n"),
+        times("  (*get(a))(b);\n", q % 3),
+        F.lit("  return ((T)(b))->fn(3) + f(1)->g(2);\n}\n"),
+    )
+    returns_function = F.concat(
+        F.lit("\nint (*pick_"), tag, F.lit("(int a, int b))(void) NOEXCEPT\n#ifdef X\n#endif\n{\n"),
+        F.lit("  if (a) ((T *)b)->run(k(4));\n  return 0;\n}\n"),
+    )
     n = F.col("l_linenumber") % 4
     return lineitem.select(
         lineitem_path().alias("file_path"),
@@ -75,7 +84,7 @@ def sources_from_lineitem(lineitem: DataFrame) -> DataFrame:
             F.lit(_HEAD),
             F.when(n >= 1, pointer_function).otherwise(""),
             F.when(n >= 2, handler).otherwise(""),
-            F.when(n >= 3, conditional).otherwise(""),
+            F.when(n >= 3, F.concat(conditional, old_style, returns_function)).otherwise(""),
             F.lit("int after;\n"),
         ).alias("text"),
     )

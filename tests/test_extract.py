@@ -111,3 +111,58 @@ def test_extraction_needs_no_shuffle(spark, sf):
     tokens = plan_of(X.tokenize_sources(src))
     assert tokens.count("Exchange") == 1 and tokens.count("Sort ") == 1
     assert corpus_sources(spark, sf).columns == ["file_path", "text"]
+
+
+HEADS = r'''
+int proto(int), x;
+/* old; style( */ int knr(a, b) int a; char *b; { return a; }
+static unsigned long old2(fn, n)
+    int (*fn)(int); /* one */
+    int n;
+{ return (*fn)(n); }
+int trail(void) NOEXCEPT { return 1; }
+int sec(int a) SECTION(".x") COLD { return 2; }
+#ifdef A
+int cond(int a)
+#else
+int cond(long a)
+#endif
+{ return 3; }
+struct __attribute__((packed)) P { int z; };
+struct P *mk(void) { return 0; }
+int (*getfn(int a, int b))(void) { return f; }
+ATTR(1) int macro(int a) { return 4; }
+int deep(int (*a)(int (*)(int (*)(int (*)(int (*)(int (*)(int (*)(int)))))))) { return 5; }
+enum E { A = (1), B };
+int arr[2] = { 1, (2) };
+'''
+
+
+def test_heads_of_definitions(spark):
+    fns = extract(spark, HEADS)
+    assert list(fns) == [
+        "knr", "old2", "trail", "sec", "cond", "mk", "(*getfn(int a, int b))", "macro", "deep",
+    ]
+    params = {n: f.ast_features.param_count for n, f in fns.items()}
+    assert list(params.values()) == [2, 2, 1, 1, 1, 1, 1, 1, 1]
+    assert fns["knr"].function_code == "int knr(a, b) int a; char *b; { return a; }"
+    assert fns["old2"].function_code.startswith("static unsigned long old2(fn, n)")
+    assert fns["old2"].call_names == ["(*fn)"]
+    src = spark.createDataFrame([("a.c", HEADS), ("b.c", "int a; whatever { x(); }\nint f(void) { }")], SCHEMA)
+    assert [(r.file_path, r.unknown_blocks) for r in X.rejected_sources(src).collect()] == [("b.c", 1)]
+
+
+CALLS = r'''void all(void)
+{
+  m[a[b[c]]](1); (*get(x))(y); ((T)(p))->fn(3); f(1)->g(2); h(1)(2);
+  if (q(1)) (*cb)(2); else ((T *)p)->run(k(4)); while (w()) tab[i].go();
+  x = (int)(y) + sizeof(z); return (a)->last(deep(((((((((1))))))))));
+}
+'''
+
+
+def test_callees_of_any_form(spark):
+    assert extract(spark, CALLS)["all"].call_names == [
+        "m[a[b[c]]]", "(*get(x))", "get", "((T)(p))->fn", "f(1)->g", "f", "h(1)", "h",
+        "q", "(*cb)", "((T*)p)->run", "k", "w", "tab[i].go", "(a)->last", "deep",
+    ]
