@@ -4,14 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from codeloom.schemas import FEATURE_ORDER
 
-# Largest parameter matrix that may travel inside a task closure.
-MATRIX_BYTES = 64 << 20
-
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(
@@ -44,7 +41,8 @@ def with_length(vector: Column, dim: int, name: str) -> Column:
     return F.when(F.size(vector) == dim, vector).otherwise(
         F.raise_error(
             F.concat(
-                F.lit(f"{name}: expected {dim} entries, got "), F.size(vector).cast("string")
+                F.lit(f"{name}: expected {dim} entries, got "),
+                F.coalesce(F.nullif(F.size(vector), F.lit(-1)).cast("string"), F.lit("null")),
             )
         )
     )
@@ -60,32 +58,30 @@ def to_matrix(vectors: pd.Series) -> np.ndarray:
     return np.vstack(vectors.to_numpy()).astype(np.float64, copy=False)
 
 
-def _small_matrix(rows: list[list[float]]) -> np.ndarray:
-    matrix = np.asarray(rows, dtype=np.float64)
-    if matrix.nbytes > MATRIX_BYTES:
-        raise ValueError(f"parameter matrix of {matrix.nbytes} bytes is over {MATRIX_BYTES}")
-    return matrix
+def _shared(rows: list[list[float]]):
+    """A parameter matrix of any size, sent to each executor once."""
+    return SparkSession.active().sparkContext.broadcast(np.asarray(rows, dtype=np.float64))
 
 
 def linear_scores(vector: Column, weights: list[list[float]], intercepts: list[float]) -> Column:
     """``weights @ vector + intercepts`` as array<double>, a batch at a time."""
-    matrix, bias = _small_matrix(weights), np.asarray(intercepts, dtype=np.float64)
+    matrix, bias = _shared(weights), np.asarray(intercepts, dtype=np.float64)
 
     @F.pandas_udf("array<double>")
     def scores(batch: pd.Series) -> pd.Series:
-        return pd.Series(list(to_matrix(batch) @ matrix.T + bias))
+        return pd.Series(list(to_matrix(batch) @ matrix.value.T + bias))
 
     return scores(vector)
 
 
 def nearest_centroid(vector: Column, centroids: list[list[float]]) -> Column:
     """Number of the nearest centroid (Euclidean), the smaller one on a tie."""
-    matrix = _small_matrix(centroids)
-    squares = (matrix**2).sum(axis=1)
+    shared = _shared(centroids)
 
     @F.pandas_udf("int")
     def nearest(batch: pd.Series) -> pd.Series:
-        distance = squares - 2.0 * (to_matrix(batch) @ matrix.T)
+        matrix = shared.value
+        distance = (matrix**2).sum(axis=1) - 2.0 * (to_matrix(batch) @ matrix.T)
         return pd.Series(np.round(distance, 9).argmin(axis=1).astype(np.int32))
 
     return nearest(vector)

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codeloom.functions.effects import relevant
-from codeloom.session import broadcast_if_small
+from codeloom.functions.vectors import with_length
 
-# Rows per block: a block of 64-d float vectors is about one megabyte.
+# Rows and bytes of vectors per block at most.
 BLOCK_ROWS = 4096
+BLOCK_BYTES = 4 << 20
+# Query blocks that share a key with one corpus block when both sides are shuffled.
+GROUP_BLOCKS = 8
 # Rows of a block that are multiplied at once; bounds the similarity matrix.
 SLICE_ROWS = 512
 # Similarities are compared after rounding, so equal vectors tie exactly.
@@ -46,7 +49,7 @@ def best_of_block(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[keep], cols[keep]
 
 
-def _blocks(df: DataFrame, id_col: str, vec_col: str, label_col: str | None, n: int, name: str):
+def _blocks(df: DataFrame, id_col: str, vec_col: str, label_col: str | None, n: int, name: str, dim: int):
     """One row per block of about ``BLOCK_ROWS`` rows: ids in order, all vectors in
     one flat array, label lists.
 
@@ -56,7 +59,7 @@ def _blocks(df: DataFrame, id_col: str, vec_col: str, label_col: str | None, n:
     labels = F.col(label_col) if label_col else F.lit(None).cast("array<string>")
     row = F.struct(
         F.col(id_col).alias("id"),
-        F.col(vec_col).cast("array<float>").alias("vec"),
+        with_length(F.col(vec_col).cast("array<float>"), dim, vec_col).alias("vec"),
         labels.alias("labels"),
     )
     block = F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias(name)
@@ -92,21 +95,29 @@ def top_k_neighbours(
     broadcast only when their measured size is below ``broadcast_bytes``.
     """
     id_type = corpus.schema[id_col].dataType
+    labels = F.col(label_col) if label_col else F.lit(None).cast("array<string>")
     size = corpus.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size(vec_col)), F.lit(0)).alias("d")
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.max(F.size(vec_col)), F.lit(0)).alias("d"),
+        F.coalesce(F.sum(F.length(F.col(id_col).cast("string")) + F.coalesce(F.length(F.array_join(labels, "")), F.lit(0))), F.lit(0)).alias("extra"),
     ).first()
-    n_corpus = max(1, ceil(size["n"] / block_rows))
+    dim = size["d"]
+    n_corpus = max(1, ceil(size["n"] / min(block_rows, max(1, BLOCK_BYTES // (4 * max(dim, 1))))))
     n_query = max(
         n_corpus,
         queries.sparkSession.sparkContext.defaultParallelism,
     )
-    right = _blocks(corpus, id_col, vec_col, label_col, n_corpus, "c")
-    left = _blocks(queries, id_col, vec_col, label_col, n_query, "q").withColumn(
+    right = _blocks(corpus, id_col, vec_col, label_col, n_corpus, "c", dim)
+    left = _blocks(queries, id_col, vec_col, label_col, n_query, "q", dim).withColumn(
         "c", F.explode(F.sequence(F.lit(0), F.lit(n_corpus - 1)))
     )
-    if size["n"] * (size["d"] * 4 + 64) <= broadcast_bytes:
-        right = F.broadcast(right)
-    pairs = left.join(right, "c").drop("c", "q")
+    if size["n"] * (dim * 4 + 64) + 2 * size["extra"] <= broadcast_bytes:
+        pairs = left.join(F.broadcast(right), "c").drop("c", "q")
+    else:
+        groups = ceil(n_query / GROUP_BLOCKS)
+        left = left.withColumn("g", F.floor(F.col("q") / GROUP_BLOCKS).cast("int"))
+        right = right.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        pairs = left.join(right, ["c", "g"]).drop("c", "q", "g")
 
     schema = T.StructType(
         [
@@ -184,36 +195,18 @@ def _label_sets(df: DataFrame, label_col: str) -> DataFrame:
     )
 
 
-def _with_subsets(sets: DataFrame) -> DataFrame:
-    """Every non-empty subset of every label set: ``(_set, _rows, _sub)``.
-
-    A set has at most as many labels as there are classes, so this stays small.
-    """
-    bits = F.expr("sequence(1, shiftleft(1, size(_set)) - 1)")
-    chosen = F.expr("filter(_set, (label, i) -> (shiftright(_bits, i) & 1) = 1)")
-    return (
-        sets.where(F.size("_set") > 0)
-        .withColumn("_bits", F.explode(bits))
-        .select("_set", "_rows", chosen.alias("_sub"))
-    )
-
-
 def relevant_counts_by_set(df: DataFrame, label_col: str) -> DataFrame:
     """``(_set, _others)``: rows that share a label with each distinct label set.
 
-    Inclusion and exclusion over the subsets of a set replaces any pairing: a row
-    meets the set iff it holds one of its labels, and the number of rows that hold
-    all labels of a subset is a plain group count.
+    Rows collapse to distinct sets first, so only different sets meet over their labels; a
+    pair of sets that shares several labels counts once. The work depends on how many
+    different sets there are, not on rows or on the size of a set.
     """
-    subsets = _with_subsets(_label_sets(df, label_col))
-    holding = subsets.groupBy("_sub").agg(F.sum("_rows").alias("_holding"))
-    sign = F.when(F.size("_sub") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
-    return (
-        subsets.select("_set", "_sub")
-        .join(holding, "_sub")
-        .groupBy("_set")
-        .agg(F.sum(sign * F.col("_holding")).alias("_others"))
-    )
+    sets = _label_sets(df, label_col).where(F.size("_set") > 0)
+    tagged = sets.select("_set", "_rows", F.explode("_set").alias("_label"))
+    other = tagged.select("_label", F.col("_set").alias("_other"), F.col("_rows").alias("_n"))
+    pairs = tagged.select("_set", "_label").join(other, "_label").select("_set", "_other", "_n").distinct()
+    return pairs.groupBy("_set").agg(F.sum("_n").alias("_others"))
 
 
 def relevant_count(df: DataFrame, id_col: str, label_col: str) -> DataFrame:
@@ -224,7 +217,7 @@ def relevant_count(df: DataFrame, id_col: str, label_col: str) -> DataFrame:
             F.col(id_col).alias("query_id"),
             F.array_sort(F.array_distinct(F.col(label_col))).alias("_set"),
         )
-        .join(broadcast_if_small(by_set), "_set", "left")
+        .join(by_set, "_set", "left")
         .select(
             "query_id", F.greatest(F.coalesce("_others", F.lit(1)) - 1, F.lit(0)).alias("n_relevant")
         )
@@ -312,7 +305,7 @@ def retrieval_report(
 def chance_level(df: DataFrame, label_col: str) -> DataFrame:
     """Mean share of other rows that are relevant: the level of a random ranking."""
     by_set = relevant_counts_by_set(df, label_col)
-    sized = _label_sets(df, label_col).join(broadcast_if_small(by_set), "_set", "left")
+    sized = _label_sets(df, label_col).join(by_set, "_set", "left")
     others = F.greatest(F.coalesce("_others", F.lit(1)) - 1, F.lit(0))
     return sized.agg(F.sum(F.col("_rows") * others).alias("_hits"), F.sum("_rows").alias("n")).select(
         F.when(F.col("n") > 1, F.col("_hits") / (F.col("n") * (F.col("n") - 1)))

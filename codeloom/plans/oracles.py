@@ -310,7 +310,11 @@ counts AS (
     {_occurrences("' '")} AS nesting_depth, {_occurrences("chr(10)")} + 1 AS line_count,
     {_occurrences("','")} AS param_count, length(text) AS pointer_count
   FROM documents),
-joined AS (SELECT * FROM v JOIN counts ON vec_id = doc_id),
+joined AS (
+  SELECT coalesce(vec_id, doc_id) AS vec_id,
+    coalesce(e, list_transform(range(64), lambda i: ((doc_id * 31 + i * 17) % 129 - 64) / 64)) AS e,
+    {", ".join(f"coalesce({f}, 0) AS {f}" for f in _FEATURES)}
+  FROM v FULL JOIN counts ON vec_id = doc_id),
 params AS (
   SELECT {", ".join(f"avg({f}) AS m_{f}, CASE WHEN stddev_pop({f}) = 0 THEN 1.0 ELSE stddev_pop({f}) END AS s_{f}" for f in _FEATURES)}
   FROM joined),
@@ -516,8 +520,10 @@ FROM p GROUP BY file_path""",
 SELECT conv_id, md5({_EFFECTS_PROMPT}) AS prompt_digest,
   md5('user:' || {_PURPOSE_PROMPT} || chr(10) || 'assistant:' || reply || chr(10) || 'user:' || {_SECOND})
     AS messages_digest
-FROM (SELECT a.conv_id, a.text AS code, b.text AS reply FROM conversations a
-      JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = 0 AND b.turn = 1)""",
+FROM (SELECT conv_id,
+        coalesce(string_agg(coalesce(text, ''), chr(10) ORDER BY turn) FILTER (turn % 2 = 0), '') AS code,
+        coalesce(string_agg(coalesce(text, ''), chr(10) ORDER BY turn) FILTER (turn % 2 = 1), '') AS reply
+      FROM conversations GROUP BY conv_id)""",
     "lab6_parse_effects_reply": f"""
 SELECT event_id,
   CASE event_id % 10

@@ -291,15 +291,18 @@ def lab4_side_effects_source(spark, sf):
 
 @query
 def lab5_prompts(spark, sf):
-    """First question and answer of every conversation as code and reply."""
-    turns = table(spark, sf, "conversations").where("turn < 2")
-    code = turns.where("turn = 0").select("conv_id", F.col("text").alias("code"))
-    reply = turns.where("turn = 1").select("conv_id", F.col("text").alias("reply"))
+    """Per conversation: its even turns as the code, its odd turns as the reply."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+
+    def side(parity: int) -> Column:
+        own = F.collect_list(F.when(F.col("turn") % 2 == parity, F.struct("turn", "text")))
+        return F.array_join(F.array_sort(own)["text"], "\n")
+
+    chats = turns.groupBy("conv_id").agg(side(0).alias("code"), side(1).alias("reply"))
     messages = E.purpose_messages(F.col("code"), F.col("reply"))
     flat = F.array_join(F.transform("messages", lambda m: F.concat_ws(":", m["role"], m["content"])), "\n")
     return (
-        code.join(reply, "conv_id")
-        .withColumn("messages", messages)
+        chats.withColumn("messages", messages)
         .select(
             "conv_id",
             F.md5(E.effects_prompt(F.col("code"))).alias("prompt_digest"),
@@ -748,7 +751,7 @@ def _profile(spark, sf):
 
 @query
 def clu1_fit_kmeans(spark, sf):
-    model = K.fit_kmeans(labelled_vectors(spark, sf), "embedding", k=3, n_init=3)
+    model = K.fit_kmeans(labelled_vectors(spark, sf), "embedding", k=3)
     rows = [(i, c) for i, c in enumerate(K.centroids_of(model))]
     return spark.createDataFrame(rows, "cluster int, centroid array<double>").select(
         "cluster", F.size("centroid").alias("dim")

@@ -5,12 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Upper bound in rows for a side that is marked for broadcast.
-BROADCAST_ROWS = 100_000
-
+from pyspark.sql import SparkSession
 
 def build_session(app: str = "codeloom", cpus: int | None = None) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
@@ -28,17 +23,6 @@ def build_session(app: str = "codeloom", cpus: int | None = None) -> SparkSessio
     )
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when it holds at most ``max_rows`` rows.
-
-    The check reads no more than ``max_rows + 1`` rows. A larger side is returned
-    unmarked, and the join falls back to a shuffle that AQE can split on skew.
-    """
-    if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder: the one the cluster names, or a fresh one in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(

