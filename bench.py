@@ -25,10 +25,18 @@ HEADLINE = [
     "cls6_classification_report",
     "ret2_top_k_neighbours",
     "ret7_retrieval_report",
+    "ret9_worst_query",
     "clu4_cluster_profile",
     "rep1_histogram",
     "rep2_describe",
     "rep2_describe_features",
+    "src1_read_sources",
+    "lab11_enrich_incremental",
+    "lab_label_functions",
+    "cls7_ablation",
+    "clu1_fit_kmeans",
+    "sco1_score_sources",
+    "sco2_score_stream",
 ]
 
 

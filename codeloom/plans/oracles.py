@@ -323,8 +323,12 @@ fused AS (
   FROM joined, params)
 """
 
+# Occurrences of the letters a to p in the code, in eighths.
+_LETTERS = [f"(length(code) - length(replace(code, '{chr(97 + i)}', ''))) / 8" for i in range(16)]
 _SCORES = ", ".join(
     "CASE WHEN "
+    + " + ".join(f"({w}) * {x}" for w, x in zip(_weights(c, range(16)), _LETTERS))
+    + " + "
     + " + ".join(
         f"({w}) * ({f} - m_{f}) / s_{f}" for w, f in zip(_weights(c, range(16, 24)), _FEATURES)
     )
@@ -340,7 +344,8 @@ raw AS (
   SELECT g.*, list_filter([{_SCORES}], lambda x: x IS NOT NULL) AS c FROM g, params),
 scored AS (
   SELECT *, CASE WHEN len(c) > 0 THEN c ELSE ['none'] END AS predicted,
-    CASE WHEN effects = '' THEN ['none'] ELSE string_split(effects, ',') END AS ruled FROM raw)
+    CASE WHEN effects <> '' THEN string_split(effects, ',') WHEN len(calls) = 0 THEN ['none']
+         WHEN length(@EFFECTS@) % 2 = 1 THEN ['memory'] ELSE ['io'] END AS ruled FROM raw)
 """
 
 # --- tokens -----------------------------------------------------------------------
@@ -428,6 +433,8 @@ _SECOND = (
     "Start with a verb. No JSON, just the sentence.'"
 )
 
+SCORED = SCORED.replace("@EFFECTS@", _EFFECTS_PROMPT)
+
 _WORD_EFFECTS = f"""
   SELECT doc_id, len(w) AS n_words, array_to_string(list_filter([
     CASE WHEN len(list_filter(w, lambda x: x IN ('der', 'la') OR starts_with(x, 'hard'))) > 0
@@ -524,6 +531,18 @@ FROM (SELECT conv_id,
         coalesce(string_agg(coalesce(text, ''), chr(10) ORDER BY turn) FILTER (turn % 2 = 0), '') AS code,
         coalesce(string_agg(coalesce(text, ''), chr(10) ORDER BY turn) FILTER (turn % 2 = 1), '') AS reply
       FROM conversations GROUP BY conv_id)""",
+    "lab_label_functions": f"""
+WITH d AS (
+  SELECT doc_id, lang, length({_EFFECTS_PROMPT}) % 4 AS r, length({_PURPOSE_PROMPT}) % 5 AS c, len(w) AS n,
+    len(list_filter(w, lambda x: x = 'and' OR starts_with(x, 'st'))) > 0 AS has_io
+  FROM (SELECT doc_id, lang, text AS code, {_WORDS} AS w FROM documents)),
+e AS (
+  SELECT *, NOT has_io AND n > 0 AS unclear, (NOT has_io AND n > 0 AND r >= 2) OR c = 0 AS failed FROM d)
+SELECT doc_id, lang AS control_flow,
+  CASE WHEN failed THEN 'error' WHEN unclear THEN 'llm_fallback' ELSE 'deterministic' END AS side_effects_source,
+  CASE WHEN failed THEN 'ERROR' ELSE 'turn 3' END AS purpose,
+  CASE WHEN failed THEN 'none' WHEN has_io THEN 'io' WHEN unclear AND r = 0 THEN 'memory' ELSE 'none' END AS effects
+FROM e""",
     "lab6_parse_effects_reply": f"""
 SELECT event_id,
   CASE event_id % 10
@@ -657,11 +676,15 @@ LEFT JOIN c ON c.doc_id = d.doc_id AND c.bucket = b LEFT JOIN s ON s.doc_id = d.
     "UNION ALL SELECT 'retrieval', 'Recall@3', round(avg(r3), 4) FROM per_query "
     "UNION ALL SELECT 'retrieval', 'Recall@5', round(avg(r5), 4) FROM per_query",
     "sco1_score_sources": f"WITH {SCORED} SELECT function_id, function_name AS name, "
-    "'Unable to generate description' AS high_level_purpose, array_to_string(predicted, ',') AS predicted, "
+    f"'turn 3 after ' || length({_PURPOSE_PROMPT}) || ' characters' AS high_level_purpose, "
+    "array_to_string(predicted, ',') AS predicted, "
+    "CASE WHEN effects = '' AND len(calls) = 0 THEN '' ELSE array_to_string(ruled, ',') END AS ruled, "
     "control_flow, 24 AS embedding_dim, 3 AS preview_dim FROM scored",
-    "sco2_score_stream": "SELECT doc_id AS request_id, CASE WHEN source = 'src0' THEN '' ELSE 'doc_' || doc_id END AS name, "
-    "CASE WHEN source = 'src0' THEN 0 ELSE 24 END AS embedding_dim, "
-    "CASE WHEN source = 'src0' THEN 'rejected' ELSE 'scored' END AS outcome FROM documents",
+    "sco2_score_stream": "SELECT doc_id AS request_id, "
+    "CASE WHEN source IN ('src0', 'src1') THEN '' ELSE 'doc_' || doc_id END AS name, "
+    "CASE WHEN source IN ('src0', 'src1') THEN 0 ELSE 24 END AS embedding_dim, "
+    "CASE source WHEN 'src0' THEN 'code field must not be empty' "
+    "WHEN 'src1' THEN 'no function definition found' ELSE 'scored' END AS outcome FROM documents",
     "sco3_compare_rule_and_model": f"""
 WITH {SCORED},
 d AS (

@@ -289,6 +289,42 @@ def lab4_side_effects_source(spark, sf):
     ).select("doc_id", "side_effects_source", joined("side_effects").alias("effects"))
 
 
+SOME_SIGNALS = {"io": {"exact": ["and"], "prefix": ["st"]}}
+
+
+def _label_generate(prompt):
+    """Replies of four kinds by the length of the prompt."""
+    kind = len(prompt) % 4
+    if kind == 3:
+        raise RuntimeError("no reply")
+    return ('{"side_effects": ["memory"]}', "not JSON", "[1]")[kind]
+
+
+def _label_chat(messages):
+    if len(messages[0]["content"]) % 5 == 0:
+        raise RuntimeError("no answer")
+    return f"turn {len(messages)}"
+
+
+@query
+def lab_label_functions(spark, sf):
+    """All labelling steps on documents as functions: rules, fallback, purpose, error records."""
+    rows = spread(table(spark, sf, "documents")).select(
+        "doc_id",
+        F.col("text").alias("function_code"),
+        words(F.col("text")).alias("call_names"),
+        F.array(F.col("lang")).alias("control_flow_elements"),
+    )
+    done = N.label_functions(rows, _label_generate, _label_chat, signals=SOME_SIGNALS)
+    labels = F.col("labels")
+    return done.select(
+        "doc_id", "side_effects_source",
+        labels["high_level_purpose"].alias("purpose"),
+        joined("labels.side_effects").alias("effects"),
+        joined("labels.control_flow_elements").alias("control_flow"),
+    )
+
+
 @query
 def lab5_prompts(spark, sf):
     """Per conversation: its even turns as the code, its odd turns as the reply."""
@@ -542,12 +578,10 @@ def fus4_fuse(spark, sf):
 CLASSES = ["hardware", "io", "memory", "none"]
 
 
-def fixed_model(dim: int, feature_dims: int = 0) -> C.LinearModel:
-    """Weights given by a rule; with ``feature_dims`` only the last entries count."""
+def fixed_model(dim: int) -> C.LinearModel:
+    """Weights given by a rule."""
 
     def weight(c: int, i: int) -> float:
-        if feature_dims and i < dim - feature_dims:
-            return 0.0
         return ((i * 7 + c * 3) % 11 - 5) / 10
 
     return C.LinearModel(
@@ -870,15 +904,27 @@ SCORE_DIM = 16
 
 
 def _encode_small(df):
-    return S.attach_hash_embedding(df, SCORE_DIM)
+    """How often the first letters stand in a function, in eighths: exact in any float."""
+    code = F.col("function_code")
+    letters = [chr(ord("a") + i) for i in range(SCORE_DIM)]
+    entries = [((F.length(code) - F.length(F.replace(code, F.lit(x), F.lit("")))) / 8).cast("float") for x in letters]
+    return df.withColumn("embedding", F.array(*entries))
+
+
+def _score_chat(messages):
+    return f"turn {len(messages)} after {len(messages[0]['content'])} characters"
+
+
+def _score_generate(prompt):
+    return '{"side_effects": ["%s"]}' % ("memory" if len(prompt) % 2 else "io")
 
 
 def _scored(spark, sf):
     sources = corpus_sources(spark, sf)
-    functions = X.extract_functions(sources)
-    scaler = M.fit_scaler(functions, M.feature_columns())
-    return S.score_functions(
-        functions, scaler, fixed_model(SCORE_DIM + 8, 8), encode=_encode_small, dim=SCORE_DIM + 8
+    scaler = M.fit_scaler(X.extract_functions(sources), M.feature_columns())
+    return S.score_sources(
+        sources, scaler, fixed_model(SCORE_DIM + 8), encode=_encode_small,
+        chat=_score_chat, generate=_score_generate, dim=SCORE_DIM + 8,
     )
 
 
@@ -887,6 +933,7 @@ def sco1_score_sources(spark, sf):
     return _scored(spark, sf).select(
         "function_id", "name", "high_level_purpose",
         joined("predicted_side_effects").alias("predicted"),
+        joined("rule_side_effects").alias("ruled"),
         joined("control_flow_elements").alias("control_flow"),
         "embedding_dim",
         F.size("embedding_preview").alias("preview_dim"),
@@ -895,7 +942,7 @@ def sco1_score_sources(spark, sf):
 
 @query
 def sco2_score_stream(spark, sf):
-    """Documents as requests of C code; those of source ``src0`` send blank code."""
+    """Documents as requests of C code; those of source ``src0`` send blank code, those of ``src1`` no function."""
     requests, models, out, progress = (
         scratch(spark, n) for n in ("requests", "models", "scored", "progress")
     )
@@ -906,14 +953,14 @@ def sco2_score_stream(spark, sf):
     )
     documents.select("doc_id", "source").join(code, "doc_id").select(
         F.col("doc_id").alias("request_id"),
-        F.when(F.col("source") == "src0", "  \n").otherwise(F.col("code")).alias("code"),
+        F.when(F.col("source") == "src0", "  \n").when(F.col("source") == "src1", "int x;\n").otherwise(F.col("code")).alias("code"),
     ).write.json(requests)
     functions = X.extract_functions(
         code.select(F.col("doc_id").cast("string").alias("file_path"), F.col("code").alias("text"))
     )
     io.save_model_tables(
         M.fit_scaler(functions, M.feature_columns()),
-        fixed_model(SCORE_DIM + 8, 8).table(spark),
+        fixed_model(SCORE_DIM + 8).table(spark),
         models,
     )
     jobs.score_stream(
@@ -924,7 +971,7 @@ def sco2_score_stream(spark, sf):
     )
     rejected = spark.read.parquet(f"{out}/rejected").select(
         "request_id", F.lit("").alias("name"), F.lit(0).alias("embedding_dim"),
-        F.lit("rejected").alias("outcome"),
+        F.col("reason").alias("outcome"),
     )
     return scored.unionByName(rejected)
 

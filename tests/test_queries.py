@@ -10,10 +10,10 @@ SOME = [
     "ext3_function_name", "ext12_control_flow_elements", "ext13_call_names",
     "ext14_feature_struct", "ext15_functions_per_file", "lab1_signal_table",
     "lab2_deterministic_side_effects", "lab2_side_effects_from_table", "lab6_parse_effects_reply",
-    "lab7_enrich", "emb2_hash_embed", "fus3_apply_scaler", "fus4_fuse", "cls3_split",
-    "cls6_classification_report", "ret2_top_k_neighbours", "ret7_retrieval_report",
+    "lab5_prompts", "lab7_enrich", "lab_label_functions", "emb2_hash_embed", "fus3_apply_scaler", "fus4_fuse", "cls3_split",
+    "cls6_classification_report", "cls2_label_distribution", "ret2_top_k_neighbours", "ret5_relevant_count", "ret7_retrieval_report",
     "ret9_worst_query", "clu4_cluster_profile", "clu6_misfits", "rep1_histogram", "rep2_describe",
-    "sco1_score_sources", "sco3_compare_rule_and_model",
+    "sco1_score_sources", "sco2_score_stream", "sco3_compare_rule_and_model",
 ]
 
 

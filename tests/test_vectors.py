@@ -163,3 +163,30 @@ def test_projection_has_ordered_variance(spark):
     one = points.dropDuplicates(["id"]).agg(F.var_pop("x").alias("x"), F.var_pop("y").alias("y")).first()
     assert one.x >= one.y > 0
     assert points.count() == df.select(F.explode("labels")).count()
+
+
+def test_relevant_counts_of_many_labels(spark):
+    """40 labels a row; the sets that meet are counted, not their subsets."""
+    many = [f"l{i}" for i in range(40)]
+    rows = [(1, many), (2, many[:20]), (3, many[20:]), (4, ["other"]), (5, []), (6, many)]
+    frame = spark.createDataFrame(rows, "id long, labels array<string>")
+    counts = {r.query_id: r.n_relevant for r in Q.relevant_count(frame, "id", "labels").collect()}
+    assert counts == {1: 3, 2: 2, 3: 2, 4: 0, 5: 0, 6: 3}
+
+
+def test_blocks_meet_by_pairs_and_bad_vectors_are_named(spark, sf):
+    frame = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
+
+    def top(rows, **how):
+        hits = Q.top_k_neighbours(rows, rows, 3, "vec_id", "embedding", **how)
+        return hits, sorted((r.query_id, r["rank"], r.neighbour_id) for r in hits.collect())
+
+    plain = top(frame)[1]
+    grid, pairs = top(frame, block_rows=100, broadcast_bytes=0)
+    assert pairs == plain
+    plan = grid._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join Inner" in line and "c#" in line and "g#" in line for line in plan.split("\n"))
+    for bad in ([0.5], None):
+        broken = frame.unionByName(spark.createDataFrame([(9999, bad)], "vec_id long, embedding array<float>"))
+        with pytest.raises(Exception, match="expected 64 entries"):
+            top(broken)
