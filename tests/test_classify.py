@@ -93,3 +93,12 @@ def test_describe_equals_pandas(spark, n):
                 assert got[c][name] is None
             else:
                 assert got[c][name] == pytest.approx(value, abs=0.011)
+
+
+def test_split_counts_longer_prefixes_until_the_edge_is_small(spark):
+    rows = spark.range(3000).withColumnRenamed("id", "k")
+    plain = {r.k for r in C.split(rows, "k").where("is_train").collect()}
+    fine = {r.k for r in C.split(rows, "k", edge_rows=0).where("is_train").collect()}
+    assert plain == fine and len(plain) == 2400
+    assert C.split(rows, "k", frac=1.0).where("is_train").count() == 3000
+    assert C.split(rows.where("false"), "k").count() == 0
