@@ -10,10 +10,11 @@ import numpy as np
 MAGIC = b"CLM1"
 BLOCK = 2048
 # Hashed contexts a block remembers, as powers of two.
-BITS2, BITS1 = 12, 11
+BITS2, BITS1 = 10, 9
 # Coding intervals are shares of these powers of two.
 SHARE, SLOTS = 16, 13
-WIDE, NARROW = np.uint64(48), np.uint64(1 << 32)
+# A settled span has more bits than the three steps of one id take together.
+WIDE, NARROW = np.uint64(48), np.uint64(1 << 40)
 ONE = 1 << SHARE
 # Hit rates move by one part in two to this power.
 RATE = 4
@@ -112,17 +113,15 @@ def _lay(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return table.reshape(blocks, BLOCK), sizes
 
 
-def _settled(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    fixed = ((low ^ (low + span)) >> WIDE) == 0
-    return fixed, fixed | (span < NARROW)
+class _Spans:
+    """Interval of each block. Settling shifts out the leading 16 bits that no later step can change; a
+    span that has become too narrow is cut so that they cannot."""
 
+    low: np.ndarray
+    span: np.ndarray
 
-class _Writer:
-    def __init__(self, blocks: int):
-        self.low = np.zeros(blocks, np.uint64)
-        self.span = np.full(blocks, np.uint64(2**64 - 1))
-        self.words = np.zeros((blocks, 3 * BLOCK + 8), np.uint16)
-        self.used = np.zeros(blocks, np.int64)
+    def shift(self, at: np.ndarray) -> None:
+        raise NotImplementedError
 
     def narrow(self, at, start, width, bits) -> None:
         """``at``: a slice, or the numbers of some blocks."""
@@ -131,21 +130,34 @@ class _Writer:
         self.span[at] = unit if width is None else unit * width.astype(np.uint64)
 
     def settle(self, active: int) -> None:
-        while True:
-            low, span = self.low[:active], self.span[:active]
-            fixed, ready = _settled(low, span)
-            at = np.flatnonzero(ready)
-            if not len(at):
-                return
-            short = at[~fixed[at]]
+        low, span = self.low[:active], self.span[:active]
+        fixed = ((low ^ (low + span)) >> WIDE) == 0
+        at = np.flatnonzero(fixed | (span < NARROW))
+        fixed = fixed[at]
+        while len(at):
+            short = at[~fixed]
             self.span[short] = (~self.low[short] + np.uint64(1)) & (NARROW - np.uint64(1))
-            self.words[at, self.used[at]] = self.low[at] >> WIDE
-            self.used[at] += 1
-            self.low[at] <<= np.uint64(16)
-            self.span[at] <<= np.uint64(16)
+            self.shift(at)
+            low, span = self.low[at] << np.uint64(16), self.span[at] << np.uint64(16)
+            self.low[at], self.span[at] = low, span
+            fixed = ((low ^ (low + span)) >> WIDE) == 0
+            ready = np.flatnonzero(fixed | (span < NARROW))
+            at, fixed = at[ready], fixed[ready]
+
+
+class _Writer(_Spans):
+    def __init__(self, blocks: int):
+        self.low = np.zeros(blocks, np.uint64)
+        self.span = np.full(blocks, np.uint64(2**64 - 1))
+        self.words = np.zeros((blocks, 3 * BLOCK + 8), np.uint16)
+        self.used = np.zeros(blocks, np.int64)
+
+    def shift(self, at: np.ndarray) -> None:
+        self.words[at, self.used[at]] = self.low[at] >> WIDE
+        self.used[at] += 1
 
 
-class _Reader:
+class _Reader(_Spans):
     def __init__(self, words: np.ndarray, starts: np.ndarray):
         self.words = np.concatenate((words, np.zeros(8, np.uint16))).astype(np.uint64)
         self.at = starts.astype(np.int64)
@@ -164,19 +176,8 @@ class _Reader:
         found = (self.code[at] - self.low[at]) // (self.span[at] >> bits)
         return np.minimum(found, (np.uint64(1) << bits) - np.uint64(1)).astype(np.int64)
 
-    narrow = _Writer.narrow
-
-    def settle(self, active: int) -> None:
-        while True:
-            fixed, ready = _settled(self.low[:active], self.span[:active])
-            at = np.flatnonzero(ready)
-            if not len(at):
-                return
-            short = at[~fixed[at]]
-            self.span[short] = (~self.low[short] + np.uint64(1)) & (NARROW - np.uint64(1))
-            self.code[at] = (self.code[at] << np.uint64(16)) | self._next(at)
-            self.low[at] <<= np.uint64(16)
-            self.span[at] <<= np.uint64(16)
+    def shift(self, at: np.ndarray) -> None:
+        self.code[at] = (self.code[at] << np.uint64(16)) | self._next(at)
 
 
 def _actives(sizes: np.ndarray):
@@ -208,14 +209,13 @@ def encode(ids: np.ndarray) -> bytes:
         start = np.where(hit2, 0, np.where(hit1, end2, end1))
         end = np.where(hit2, end2, np.where(hit1, end1, ONE))
         out.narrow(slice(active), start, end - start, np.uint64(SHARE))
-        out.settle(active)
         missed = np.flatnonzero(~(hit2 | hit1))
         if len(missed):
             bucket = BUCKET_OF.take(now[missed])
             low, high = model.ends[missed, bucket], model.ends[missed, bucket + 1]
             out.narrow(missed, low, high - low, np.uint64(SLOTS))
             out.narrow(missed, now[missed] - STARTS[bucket], None, WIDTHS[bucket])
-            out.settle(active)
+        out.settle(active)
         model.update(active, now, hit2, hit1, missed)
     for k in range(4):
         out.words[np.arange(blocks), out.used] = (out.low >> np.uint64(48 - 16 * k)) & np.uint64(0xFFFF)
@@ -246,7 +246,6 @@ def decode(data: bytes) -> np.ndarray:
         end = np.where(hit2, end2, np.where(hit1, end1, ONE))
         now = np.where(hit2, model.guess2, model.guess1) - 1
         source.narrow(slice(active), start, end - start, np.uint64(SHARE))
-        source.settle(active)
         missed = np.flatnonzero(~(hit2 | hit1))
         if len(missed):
             slot = source.value(missed, np.uint64(SLOTS))
@@ -255,8 +254,8 @@ def decode(data: bytes) -> np.ndarray:
             source.narrow(missed, low, high - low, np.uint64(SLOTS))
             place = source.value(missed, WIDTHS[bucket])
             source.narrow(missed, place, None, WIDTHS[bucket])
-            source.settle(active)
             now[missed] = STARTS[bucket] + place
+        source.settle(active)
         table[:active, step] = now
         model.update(active, now, hit2, hit1, missed)
     wrong = np.flatnonzero(_checks(table, sizes) != checks)
