@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.llm.common import documents, map_columns, split_words, written
+from codeloom.llm.common import documents, map_columns, slices, split_words, written
 
 BLANK = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -84,18 +86,25 @@ class Rule:
         return F.coalesce(vote, F.lit(0)).cast("int").alias(self.name)
 
 
-def rules() -> list[Rule]:
-    """The standing rules, over shares of a text's words and lines. A text without words gets no vote."""
-    words = F.when(F.col("n_words") > 0, F.col("n_words"))
-    lines = F.when(F.col("n_lines") > 0, F.col("n_lines"))
-    length = F.col("word_chars") / words
-    symbols = F.col("n_symbols") / words
-    repeats = F.col("n_repeat_words") / words
-    copied = F.col("n_dup_lines") / lines
-    marks = F.col("n_marks") / words
-    ends = F.col("n_ends") / words
-    upper = F.col("n_upper") / words
-    distinct = F.col("n_distinct") / words
+def rules(at: str = "") -> list[Rule]:
+    """The standing rules, over shares of a text's words and lines. A text without words gets no vote.
+
+    ``at`` stands before the names of the counts, such as a struct and a dot.
+    """
+
+    def col(name: str) -> Column:
+        return F.col(at + name)
+
+    words = F.when(col("n_words") > 0, col("n_words"))
+    lines = F.when(col("n_lines") > 0, col("n_lines"))
+    length = col("word_chars") / words
+    symbols = col("n_symbols") / words
+    repeats = col("n_repeat_words") / words
+    copied = col("n_dup_lines") / lines
+    marks = col("n_marks") / words
+    ends = col("n_ends") / words
+    upper = col("n_upper") / words
+    distinct = col("n_distinct") / words
     return [
         Rule("word_length", (length < 3) | (length > 10), (length >= 4) & (length <= 7)),
         Rule("symbols", symbols > 0.1, symbols < 0.01),
@@ -115,13 +124,13 @@ class VoteModel:
     bad_share: float
     chances: tuple[tuple[tuple[float, float, float], tuple[float, float, float]], ...]
 
-    def log_odds(self, names: list[str]) -> Column:
-        """Log odds of good against bad from the vote columns."""
+    def quality(self, votes: list[Column]) -> Column:
+        """Posterior probability of good from the votes."""
         total = F.lit(math.log((1 - self.bad_share) / self.bad_share))
-        for name, (bad, good) in zip(names, self.chances):
+        for vote, (bad, good) in zip(votes, self.chances):
             gain = [math.log(g / b) for b, g in zip(bad, good)]
-            total = total + F.when(F.col(name) == -1, gain[0]).when(F.col(name) == 1, gain[2]).otherwise(gain[1])
-        return total
+            total = total + F.when(vote == -1, gain[0]).when(vote == 1, gain[2]).otherwise(gain[1])
+        return 1 / (1 + F.exp(-total))
 
 
 # Where EM starts: bad votes are rare in good texts, good votes are common in both.
@@ -179,34 +188,59 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200, toleranc
     return model
 
 
+def _fails_base(at: str = "") -> Column:
+    words = F.col(f"{at}n_words")
+    return (words < FEWEST_WORDS) | (100 * F.col(f"{at}n_repeat_words") > 50 * words)
+
+
+def _fit_votes(votes: DataFrame, names: list[str]) -> VoteModel:
+    """EM on the histogram of the votes of all rows that pass the base; it is summed up before it is shuffled."""
+    histogram = votes.where("not base_failed").groupBy(names).agg(F.count("*").alias("rows")).orderBy(names)
+    return fit([(tuple(row[n] for n in names), row["rows"]) for row in histogram.collect()])
+
+
+def _votes(docs: DataFrame) -> DataFrame:
+    return counted(docs).select(
+        "doc_id", *COUNTS, _fails_base().alias("base_failed"), *(r.vote() for r in rules())
+    )
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """``doc_id``, the counts, every vote, ``base_failed``, ``quality`` (posterior) and ``kept``, one row per row.
 
     ``base_failed``: under 50 words, or more than half of them in repeated three-word windows. The
-    votes of all rows that pass the base give the histogram that EM is fitted on; it is summed up before it
-    is shuffled and holds at most 3 to the number of rules rows. A null or empty text has no words, gets no vote and fails the
+    votes of all rows that pass the base give the histogram that EM is fitted on; it
+    holds at most 3 to the number of rules rows. A null or empty text has no words, gets no vote and fails the
     base; a null doc_id stays null; repeated rows are each judged; an empty table gives an empty one.
     """
-    standing = rules()
-    names = [r.name for r in standing]
-    failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    votes = counted(docs).select("doc_id", *COUNTS, failed.alias("base_failed"), *(r.vote() for r in standing))
-    votes = written(votes, "quality")
-    histogram = votes.where("not base_failed").groupBy(names).agg(F.count("*").alias("rows")).orderBy(names).collect()
-    model = fit([(tuple(row[n] for n in names), row["rows"]) for row in histogram])
-    quality = 1 / (1 + F.exp(-model.log_odds(names)))
-    return votes.withColumn("quality", quality).withColumn(
+    names = [r.name for r in rules()]
+    votes = written(_votes(docs), "quality")
+    model = _fit_votes(votes, names)
+    return votes.withColumn("quality", model.quality([F.col(n) for n in names])).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM)
     )
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, all columns.
+    """The rows of ``docs`` that ``judge`` keeps, all columns, each row judged by its own text.
 
-    Rows that share a doc_id, or all have none, stay together if any of them is kept.
+    The texts are counted twice, for the fit and for the verdicts, and never shuffled.
     """
-    good = judge(docs).where("kept").select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(F.col("_doc")), "left_semi")
+    names = [r.name for r in rules()]
+    model = _fit_votes(_votes(docs), names)
+    inner = ", ".join(f"{c}: bigint" for c in COUNTS)
+    target = docs.withColumn("_counts", F.lit(None).cast(f"struct<{inner}>")).schema
+
+    def with_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
+            rows = [dict(zip(COUNTS, text_counts(t))) for t in texts]
+            kind = pa.struct([(c, pa.int64()) for c in COUNTS])
+            yield b.append_column("_counts", pa.array(rows, kind))
+
+    votes = [r.vote() for r in rules("_counts.")]
+    good = ~_fails_base("_counts.") & (model.quality(votes) >= KEEP_FROM)
+    return docs.mapInArrow(with_counts, target).where(good).drop("_counts")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 from pyspark.sql.window import Window
 
 from codeloom.llm.common import documents, map_columns, split_words, written
@@ -161,23 +162,22 @@ def near_duplicates(docs: DataFrame, segments: int = SEGMENTS, paired: int = PAI
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest doc_id, all columns kept.
 
-    Rows that repeat a doc_id are one document: of them the row with the smallest text stays.
+    Rows that repeat a doc_id are one document: the first by text and then by the other columns stays.
     Rows without a doc_id stay.
     """
     kept = (
         near_duplicates(docs)
-        .where("doc_id is not null")
-        .groupBy("doc_id")
-        .agg(F.min("component_id").alias("_group"), F.count("*").alias("_rows"))
-        .where("doc_id = _group")
-        .select(F.col("doc_id").alias("_doc"), "_rows")
+        .where("doc_id = component_id")
+        .select(F.col("doc_id").alias("_doc"))
+        .distinct()
     )
-    kept = written(kept, "simhash-kept")
-    once = docs.join(kept.where("_rows = 1"), docs["doc_id"] == F.col("_doc"), "left_semi")
-    more = docs.join(kept.where("_rows > 1"), docs["doc_id"] == F.col("_doc"), "left_semi")
-    row = F.struct(F.coalesce(F.col("text"), F.lit("")).alias("_text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    more = more.groupBy("doc_id").agg(F.min(row).alias("_first")).select("_first.row.*")
-    return once.unionByName(more).unionByName(docs.where("doc_id is null"))
+    # The kept ids grow with the input, so they meet the documents in a merge join at every size.
+    single = docs.join(kept.hint("merge"), docs["doc_id"] == F.col("_doc"), "left_semi")
+    plain = [f.name for f in docs.schema if isinstance(f.dataType, AtomicType) and f.name not in ("doc_id", "text")]
+    first = Window.partitionBy("doc_id").orderBy("text", *(F.col(f"`{c}`") for c in plain))
+    place = "_place_of_doc_id"
+    single = single.withColumn(place, F.row_number().over(first)).where(f"{place} = 1").drop(place)
+    return single.unionByName(docs.where("doc_id is null"))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,16 +87,16 @@ def test_links_light_and_heavy_keys_equal_all_pairs(spark):
                 base ^= draw.getrandbits(64) & draw.getrandbits(64) & draw.getrandbits(64) & draw.getrandbits(64)
     prints = sorted(prints)
     groups = plain_groups(prints)
-    for paired, segments in ((64, 5), (0, 5), (3, 5), (64, 3), (0, 7)):
+    for paired, segments in ((64, 5), (0, 5), (3, 7)):
         label = _linked(spark, prints, paired, segments)
         mine = [label.get(p, p) for p in prints]
         assert len(set(zip(mine, groups))) == len(set(mine)) == len(set(groups))
 
 
 def test_components_of_a_long_chain_and_a_hub(spark):
-    chain = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(7, 7), (2, 1)]
+    chain = [(i, i + 1) for i in range(70)] + [(1000, i) for i in range(1001, 1200)] + [(7, 7), (2, 1)]
     found = connected_components(spark.createDataFrame(chain, "a long, b long")).collect()
-    assert {r.node: r.component for r in found} == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1200)}
+    assert {r.node: r.component for r in found} == {i: 0 for i in range(71)} | {i: 1000 for i in range(1000, 1200)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
