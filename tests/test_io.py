@@ -98,7 +98,9 @@ def test_score_stream(spark, tmp_path):
     scored = spark.read.parquet(f"{out}/scored").collect()
     assert sorted((r.request_id, r.name) for r in scored) == [(1, "f"), (1, "h"), (4, "k")]
     assert all(r.embedding_dim == 12 and r.embedding_preview == [0.0, 1.0, 2.0] for r in scored)
-    assert [r.request_id for r in spark.read.parquet(f"{out}/rejected").collect()] == [2]
+    # Every request has an outcome: blank code, and code that holds no function, are told apart.
+    rejected = {r.request_id: r.reason for r in spark.read.parquet(f"{out}/rejected").collect()}
+    assert rejected == {2: "code field must not be empty", 3: "no function definition found"}
 
 
 def test_enrich_incremental_resumes(spark, tmp_path):
