@@ -126,7 +126,12 @@ def misfit_report(rows: DataFrame, id_col: str, n: int = 10) -> DataFrame:
 
 
 def drill_down(df: DataFrame, key: str, key_col: str = "function_id") -> DataFrame:
-    """Labels, call count and source of one row, found by key."""
+    """Labels, call count and source of one row, found by key.
+
+    A function's key names its file, so only that file has to be extracted.
+    """
+    if key_col == "function_id" and "file_path" in df.columns:
+        df = df.where(F.col("file_path") == key.rpartition("#")[0])
     return df.where(F.col(key_col) == F.lit(key)).select(
         key_col,
         F.col("labels.side_effects").alias("side_effects"),

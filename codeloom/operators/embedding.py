@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -25,20 +26,23 @@ def embed(
     """Add a vector per row from a user-supplied encoder.
 
     ``encoder_factory`` runs once per task and returns a function from a list of
-    texts to a list of vectors; every vector must have ``dim`` entries.
+    texts to a list of vectors; every vector must have ``dim`` entries. Null texts get
+    null and never reach the encoder.
     """
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = encoder_factory()
         for texts in batches:
+            known = [t for t in texts if t is not None]
             out: list = []
-            for start in range(0, len(texts), batch_size):
-                out.extend(encoder(list(texts.iloc[start : start + batch_size])))
+            for start in range(0, len(known), batch_size):
+                out.extend(encoder(known[start : start + batch_size]))
             wrong = [len(v) for v in out if len(v) != dim]
             if wrong:
                 raise ValueError(f"encoder returned {wrong[0]} entries, expected {dim}")
-            yield pd.Series([list(map(float, v)) for v in out])
+            vectors = iter(np.asarray(out, dtype=np.float32).reshape(len(out), dim))
+            yield pd.Series([None if t is None else next(vectors) for t in texts], dtype=object)
 
     return df.withColumn(out_col, encode(F.col(text_col)))
 

@@ -190,3 +190,9 @@ def test_blocks_meet_by_pairs_and_bad_vectors_are_named(spark, sf):
         broken = frame.unionByName(spark.createDataFrame([(9999, bad)], "vec_id long, embedding array<float>"))
         with pytest.raises(Exception, match="expected 64 entries"):
             top(broken)
+
+
+def test_null_texts_do_not_reach_the_encoder(spark):
+    rows = spark.createDataFrame([(1, "ab"), (2, None), (3, "c")], "id int, text string")
+    out = M.embed(rows, "text", lambda: lambda texts: [[len(t), 1] for t in texts], 2).orderBy("id").collect()
+    assert [r.embedding for r in out] == [[2.0, 1.0], None, [1.0, 1.0]]
