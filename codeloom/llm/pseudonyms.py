@@ -36,8 +36,22 @@ KINDS = re.compile(
     """,
     re.VERBOSE,
 )
-# Every kind holds one of these, so most texts need no closer look.
-WORTH_A_LOOK = re.compile(r"[0-9@]")
+# Every value holds one of these or follows a label, so texts without need no closer look.
+WORTH_A_LOOK = re.compile(
+    r"[0-9@]|AKIA|ASIA|gh[pousr]_|(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]"
+)
+CARD_DIGITS = 13
+# Characters of an account number with country and check digits.
+IBAN_LENGTHS = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 33: "LC RU",
+    }.items()
+    for c in countries.split()
+}
 
 Span = tuple[int, int, str]
 
@@ -238,7 +252,7 @@ def _email(cipher, value, back):
 
 
 def _secret(cipher, value, back):
-    return _same_classes(cipher, value, "secret", back) if any(c.isdigit() for c in value) else None
+    return _same_classes(cipher, value, "secret", back) if any(c.isalnum() for c in value) else None
 
 
 def _key(cipher, value, back):
@@ -258,6 +272,25 @@ def pseudonym(kind: str, value: str, key: bytes, back: bool = False) -> str | No
     return CONVERT[kind](Cipher(key), value, back)
 
 
+def _ends(kind: str, text: str, low: int, high: int) -> Iterator[int]:
+    """Where a value that starts at ``low`` may end, the likeliest end first.
+
+    A card or account number may be followed by numbers or capitals that the longest match takes for its own.
+    """
+    breaks = []
+    if kind in ("card", "iban"):
+        breaks = [e for e in range(high - 1, low, -1) if text[e - 1].isalnum() and not text[e].isalnum()]
+    if kind == "iban" and (length := IBAN_LENGTHS.get(text[low : low + 2])):
+        breaks = [e for e in breaks if len(text[low:e].replace(" ", "")) == length]
+        yield from breaks
+        yield high
+        return
+    yield high
+    for e in breaks:
+        if kind == "iban" or len(_digits(text[low:e])) >= CARD_DIGITS:
+            yield e
+
+
 def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[Span]]:
     """The text with every valid value replaced, and where. Lengths don't change."""
     if not text or not WORTH_A_LOOK.search(text):
@@ -265,8 +298,10 @@ def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[Span]]:
     pieces, spans, at, start = [], [], 0, 0
     while found := KINDS.search(text, start):
         kind = found.lastgroup
-        low, high = found.span(kind)
-        other = pseudonym(kind, found[kind], key)
+        low, longest = found.span(kind)
+        for high in _ends(kind, text, low, longest):
+            if (other := pseudonym(kind, text[low:high], key)) is not None:
+                break
         if other is None:
             # Not valid: a value of another kind may begin within.
             start = low + 1

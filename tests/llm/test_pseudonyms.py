@@ -72,6 +72,28 @@ def test_neighbours_and_long_texts():
         assert len(p.pseudonymise(long, KEY)[0]) == len(long)
 
 
+def test_values_before_numbers_and_capitals():
+    for kind, value, rest in (
+        ("card", "4111 1111 1111 1111", " 12/27"), ("card", "4111111111111111", " 123"),
+        ("card", "4111-1111-1111-1111", " 10 items"), ("card", "4111 1111 1111 1111", " 1234 5678"),
+        ("iban", "BE68 5390 0754 7034", " 2024"), ("iban", "ES91 2100 0418 4502 0005 1332", " I agree"),
+        ("iban", "BE68539007547034", " IBAN 2024"), ("iban", "GB82 WEST 1234 5698 7654 32", " 7 PM"),
+        ("iban", "DE89 3704 0044 0532 0130 00", " BIC"),
+    ):
+        text = f"pay {value}{rest}"
+        new, spans = p.pseudonymise(text, KEY)
+        assert spans == [(4, 4 + len(value), kind)], (text, new, spans)
+        assert new == f"pay {p.pseudonym(kind, value, KEY)}{rest}" and p.restore(new, spans, KEY) == text
+    assert p.pseudonymise("4111111111111111123", KEY)[1] == []
+
+
+def test_secrets_without_digits():
+    for text in ("password: correcthorse", "see API_KEY='Abcdefghijk'", "aws " + "AKIA" + "ABCDEFGHIJKLMNOP"):
+        new, spans = p.pseudonymise(text, KEY)
+        assert new != text and len(spans) == 1 and p.restore(new, spans, KEY) == text
+    assert p.pseudonymise("token = --------", KEY)[1] == []
+
+
 def test_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     before = {r.doc_id: r.text for r in docs.collect()}
