@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from codeloom.llm.common import documents, map_columns, split_words, written
 from codeloom.llm.components import connected_components
+from codeloom.llm.minhash import similar_groups
 
 BITS = 64
 SHINGLE = 3
@@ -162,11 +163,13 @@ def near_duplicates(docs: DataFrame, segments: int = SEGMENTS, paired: int = PAI
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest doc_id, all columns kept.
 
+    Groups are those of ``minhash.similar_groups``: five-word shingles with a Jaccard similarity of 0.8 or more,
+    at which SimHashes differ in about 10 bits, too many for segments of 64 to tell candidates from the rest.
     Rows that repeat a doc_id are one document: the first by text and then by the other columns stays.
     Rows without a doc_id stay.
     """
     kept = (
-        near_duplicates(docs)
+        similar_groups(docs)
         .where("doc_id = component_id")
         .select(F.col("doc_id").alias("_doc"))
         .distinct()

@@ -1,0 +1,65 @@
+"""Groups of similar texts against the Jaccard similarity of all pairs."""
+
+import random
+
+from codeloom.llm import minhash, simhash
+from tests.llm.test_simhash import WORD
+
+
+def plain_set(text):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_components(rows):
+    """Smallest doc_id reachable over pairs of similarity 0.8 or more, for each row."""
+    sets = [plain_set(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if not either or both / either >= 0.8:
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    roots = [root(i) for i in range(len(rows))]
+    low = {}
+    for (d, _), r in zip(rows, roots):
+        if d is not None:
+            low[r] = min(d, low.get(r, d))
+    return sorted(((d, low.get(r)) for (d, _), r in zip(rows, roots)), key=str)
+
+
+def variants():
+    """Bases with copies of a few changed words each, so that most pairs differ in more than two bits."""
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(5))
+    rows = []
+    for size in [60] + [6] * 12:
+        base = [word() for _ in range(200)]
+        for _ in range(size):
+            text = list(base)
+            for _ in range(draw.randrange(10)):
+                text[draw.randrange(200)] = word()
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+def test_groups_equal_all_pairs(spark):
+    rows = variants() + [(900, None), (901, ""), (902, " \t"), (903, "One two"), (904, "one TWO"), (904, "one two"), (None, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for leaders, pairs in ((minhash.LEADERS, minhash.PAIRS), (0, 0), (3, 0)):
+        got = minhash.similar_groups(docs, leaders=leaders, pairs=pairs)
+        assert sorted(((r.doc_id, r.component_id) for r in got.collect()), key=str) == plain_components(rows)
+    assert minhash.similar_groups(docs.where("false")).collect() == []
+
+
+def test_keep_one_drops_similar_texts(spark):
+    rows = variants()
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in plain_components(rows)})
