@@ -82,8 +82,10 @@ GRAMMAR = compose(
     compose(marks_after("target", "@", REACH), marks_after("negation", "~", REACH)),
     marks_after("report", '"', REACH * 3),
 )
+# Read from right to left: a threat usually comes before its target.
+AHEAD = marks_after("target", "@", REACH)
 SYMBOLS = ("other", "insult", *WORDS)
-FEATURES = 9
+FEATURES = 11
 
 
 def grammar_table() -> dict[tuple[int, str], Step]:
@@ -103,6 +105,16 @@ TABLE = grammar_table()
 FIXED = {w: symbol for symbol, words in WORDS.items() for w in words.split()}
 
 
+def targets_ahead(symbols: list[str]) -> set[int]:
+    """Places of threats that a target follows within reach."""
+    state, places = 0, set()
+    for i in reversed(range(len(symbols))):
+        state, out = AHEAD.step(state, symbols[i])
+        if out == "threat@":
+            places.add(i)
+    return places
+
+
 def pieces_of(text: str | None) -> set[str]:
     """Lower-cased words without outer punctuation, and their beginnings, marked by a trailing star."""
     words = {w.strip(TRIM) for clause in CLAUSE.split((text or "").lower()) for w in clause.split()}
@@ -135,7 +147,7 @@ class Model:
     def features(self, text: str | None, without: int | None = None) -> list[float]:
         """Sums over the clauses in which the grammar matches; zeros for a text without a match."""
         lower = (text or "").lower()
-        sums = dict.fromkeys(("insult", "insult@", "insult~", 'insult"', "threat"), 0.0)
+        sums = dict.fromkeys(("insult", "insult@", "insult~", 'insult"', "threat", "threat~", 'threat"'), 0.0)
         most, matched, size = 0.0, set(), 0
         for clause in CLAUSE.split(lower):
             words = clause.split()
@@ -144,17 +156,18 @@ class Model:
             if not found and not any(FIXED.get(w.strip(TRIM)) == "threat" for w in words):
                 continue
             state, total = 0, 0.0
-            for i, word in enumerate(words):
+            symbols = ["insult" if i in found else FIXED.get(w.strip(TRIM), "other") for i, w in enumerate(words)]
+            ahead = targets_ahead(symbols) if "threat" in symbols else ()
+            for i, symbol in enumerate(symbols):
                 piece, gain = found.get(i, (None, 1.0))
-                symbol = "insult" if piece else FIXED.get(word.strip(TRIM), "other")
                 state, out = TABLE[state, symbol]
                 if out.startswith("insult"):
                     key = 'insult"' if '"' in out else "insult~" if "~" in out else "insult@" if "@" in out else "insult"
                     sums[key] += gain
                     total += gain
                     matched.add(piece)
-                elif out == "threat@":
-                    sums["threat"] += gain
+                elif symbol == "threat" and ("@" in out or i in ahead):
+                    sums['threat"' if '"' in out else "threat~" if "~" in out else "threat"] += gain
                     total += gain
             most = max(most, total)
         every = sum(sums.values())

@@ -45,6 +45,34 @@ def test_clauses_separate_and_kinds_are_told_apart():
     assert len(model.features("fool " * 100_000)) == tox.FEATURES
 
 
+def test_threats_before_and_after_their_target():
+    model = tox.Model(100, 900, {}, [0.0] * tox.FEATURES)
+    kinds = lambda text: [x > 0 for x in model.features(text)[5:8]]
+    for text in ("Kill you", "someone should burn them", "voy a matar a usted", "they will strangle"):
+        assert kinds(text) == [True, False, False]
+    assert kinds("never kill you") == kinds("they do not kill") == [False, True, False]
+    assert kinds("she wrote kill you") == [False, False, True]
+    for text in ("kill the process", "kill. you", "kill one two three four you"):
+        assert kinds(text) == [False] * 3
+
+
+def test_threats_whose_words_are_not_in_the_lexicon(spark):
+    draw = random.Random(4)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(600):
+        text = [draw.choice(words) for _ in range(40)]
+        text[5:8] = ["kill", "you", "x"] if i % 4 == 0 else ["kill", "process", "x"]
+        text[20] = "you"
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 4 == 0)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = tox.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert not {"kill", "you"} & set(model.lexicon)
+    rows = tox.score(frame, model).where(tox.hits_remainder(F.col("doc_id"), 3, 1)).collect()
+    assert all((r.score >= 0.7) == (r.doc_id % 4 == 0) for r in rows)
+
+
 def test_held_out_accuracy_and_edges(spark):
     draw = random.Random(2)
     words = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
