@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from codeloom.llm import chat, decontaminate, lm, packing, pseudonyms, quality, simhash, tokencount, tokenfile, toxicity
+from codeloom.llm import (
+    chat,
+    decontaminate,
+    linededup,
+    lm,
+    packing,
+    pseudonyms,
+    quality,
+    repair,
+    simhash,
+    tokencount,
+    tokenfile,
+    toxicity,
+)
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
@@ -15,8 +28,12 @@ QUERIES = {
     "op8_pseudonyms": pseudonyms.op8,
     "op9_benchmark_decontamination": decontaminate.op9,
     "op10_toxicity": toxicity.op10,
+    "op12_line_dedup": linededup.op12,
+    "op13_structure_repair": repair.op13,
 }
 
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": chat.OP2_SQL,
+    "op12_line_dedup": linededup.OP12_SQL,
+    "op13_structure_repair": repair.OP13_SQL,
 }
