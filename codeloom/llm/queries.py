@@ -15,6 +15,7 @@ from codeloom.llm import (
     tokencount,
     tokenfile,
     toxicity,
+    vectorcodes,
 )
 
 QUERIES = {
@@ -28,12 +29,14 @@ QUERIES = {
     "op8_pseudonyms": pseudonyms.op8,
     "op9_benchmark_decontamination": decontaminate.op9,
     "op10_toxicity": toxicity.op10,
+    "op11_vector_codes": vectorcodes.op11,
     "op12_line_dedup": linededup.op12,
     "op13_structure_repair": repair.op13,
 }
 
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": chat.OP2_SQL,
+    "op11_vector_codes": vectorcodes.OP11_SQL,
     "op12_line_dedup": linededup.OP12_SQL,
     "op13_structure_repair": repair.OP13_SQL,
 }
