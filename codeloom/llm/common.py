@@ -35,6 +35,19 @@ def hits_remainder(doc_id: Column, parts: int, value: int) -> Column:
     return F.coalesce(remainder(doc_id, parts) == value, F.lit(False))
 
 
+def text_digest(text: Column) -> Column:
+    """64 bits that tell apart the texts of rows with one doc_id; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column has it, in capitals or not."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def split_words(text: bytes | None) -> list[bytes]:
     """Words of a UTF-8 text. ``bytes.split`` cuts exactly at 0x20 and 0x09 to 0x0D."""
     return (text or b"").split()

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.llm.common import documents, map_columns, slices, written
+from codeloom.llm.common import documents, map_columns, slices, text_digest, written
 
 # A key counts from so many code points on, and goes if so many documents hold it.
 LEAST_CHARS = 20
@@ -44,7 +44,7 @@ def identified(docs: DataFrame) -> DataFrame:
     """``(doc_id, digest, text binary)``: rows that repeat an id are told apart by a hash of their texts."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("digest"),
+        text_digest(F.col("text")).alias("digest"),
         F.col("text").cast("binary").alias("text"),
     )
 

@@ -8,12 +8,10 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
 from pyspark.sql.window import Window
 
-from codeloom.llm.common import documents, map_columns, split_words, written
+from codeloom.llm.common import documents, map_columns, split_words, text_digest, unused, written
 from codeloom.llm.components import connected_components
-from codeloom.llm.minhash import similar_groups
 
 BITS = 64
 SHINGLE = 3
@@ -52,14 +50,15 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fingerprint long)`` for each row of ``docs(doc_id, text)``; other columns are not read."""
+    """``(doc_id, digest, fingerprint long)`` for each row of ``docs(doc_id, text)``; other columns are not read."""
     return map_columns(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")),
+        docs.select(F.col("doc_id").cast("long"), text_digest(F.col("text")).alias("digest"), F.col("text").cast("binary")),
         lambda b: {
             "doc_id": b.column(0),
-            "fingerprint": [fingerprint(t) for t in b.column(1).to_pylist()],
+            "digest": b.column(1),
+            "fingerprint": [fingerprint(t) for t in b.column(2).to_pylist()],
         },
-        "doc_id long, fingerprint long",
+        "doc_id long, digest long, fingerprint long",
     )
 
 
@@ -136,14 +135,10 @@ def links(prints: DataFrame, differing: int = DIFFERING, segments: int = SEGMENT
     return near.unionByName(stars)
 
 
-def near_duplicates(docs: DataFrame, segments: int = SEGMENTS, paired: int = PAIRED) -> DataFrame:
-    """``(doc_id, fingerprint hex, component_id)``, one row per row of ``docs(doc_id, text)``.
+def grouped(docs: DataFrame, segments: int = SEGMENTS, paired: int = PAIRED) -> DataFrame:
+    """``(doc_id, digest, fingerprint long, component, component_id)``, one row per row of ``docs(doc_id, text)``.
 
-    ``component_id`` is the smallest doc_id reachable over links of at most two differing bits,
-    the document itself included. Copies meet in their fingerprint and are never paired.
-    Null and empty texts have fingerprint 0 and link like others; a row with a null doc_id is
-    kept and links, but names no component; rows that repeat a doc_id all stay; an empty table
-    gives an empty one.
+    ``component`` is the group's smallest fingerprint, ``component_id`` its smallest doc_id.
     """
     prints = written(fingerprints(docs), "simhash")
     linked = connected_components(links(prints, segments=segments, paired=paired))
@@ -152,8 +147,20 @@ def near_duplicates(docs: DataFrame, segments: int = SEGMENTS, paired: int = PAI
         "fingerprint", "own", F.coalesce("component", "fingerprint").alias("component")
     )
     named = lowest.groupBy("component").agg(F.min("own").alias("component_id"))
-    groups = lowest.join(named, "component").select("fingerprint", "component_id")
-    return prints.join(groups, "fingerprint").select(
+    groups = lowest.join(named, "component").select("fingerprint", "component", "component_id")
+    return prints.join(groups, "fingerprint").select("doc_id", "digest", "fingerprint", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, segments: int = SEGMENTS, paired: int = PAIRED) -> DataFrame:
+    """``(doc_id, fingerprint hex, component_id)``, one row per row of ``docs(doc_id, text)``.
+
+    ``component_id`` is the smallest doc_id reachable over links of at most two differing bits,
+    the document itself included. Copies meet in their fingerprint and are never paired.
+    Null and empty texts have fingerprint 0 and link like others; a row with a null doc_id is
+    kept and links, but names no component; rows that repeat a doc_id all stay; an empty table
+    gives an empty one.
+    """
+    return grouped(docs, segments, paired).select(
         "doc_id",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         "component_id",
@@ -161,25 +168,23 @@ def near_duplicates(docs: DataFrame, segments: int = SEGMENTS, paired: int = PAI
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest doc_id, all columns kept.
+    """One document of each near-duplicate group of ``near_duplicates``, the one with the smallest doc_id, all columns kept.
 
-    Groups are those of ``minhash.similar_groups``: five-word shingles with a Jaccard similarity of 0.8 or more,
-    at which SimHashes differ in about 10 bits, too many for segments of 64 to tell candidates from the rest.
-    Rows that repeat a doc_id are one document: the first by text and then by the other columns stays.
-    Rows without a doc_id stay.
+    Null and empty texts are one group with others of fingerprint 0. Different texts of one doc_id are told apart: each stands
+    for its own group, and of several in one group the one with the smallest digest stays. Of rows that repeat
+    doc_id and text the first by a hash of the other columns stays (columns of maps, which have no order, are left out of it).
+    Rows without a doc_id stay. An empty table gives an empty one; columns of any name may be there.
     """
-    kept = (
-        similar_groups(docs)
-        .where("doc_id = component_id")
-        .select(F.col("doc_id").alias("_doc"))
-        .distinct()
-    )
+    first = F.min(F.struct("doc_id", "digest"))
+    kept = grouped(docs).where("doc_id = component_id").groupBy("component").agg(first.alias("first"))
+    doc, digest, nth = (unused(docs.columns, name) for name in ("kept_doc", "kept_digest", "nth_row"))
+    kept = kept.select(F.col("first.doc_id").alias(doc), F.col("first.digest").alias(digest))
     # The kept ids grow with the input, so they meet the documents in a merge join at every size.
-    single = docs.join(kept.hint("merge"), docs["doc_id"] == F.col("_doc"), "left_semi")
-    plain = [f.name for f in docs.schema if isinstance(f.dataType, AtomicType) and f.name not in ("doc_id", "text")]
-    first = Window.partitionBy("doc_id").orderBy("text", *(F.col(f"`{c}`") for c in plain))
-    place = "_place_of_doc_id"
-    single = single.withColumn(place, F.row_number().over(first)).where(f"{place} = 1").drop(place)
+    own = text_digest(docs["text"])
+    single = docs.join(kept.hint("merge"), (docs["doc_id"].cast("long") == kept[doc]) & (own == kept[digest]))
+    others = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    rows = Window.partitionBy(doc, digest).orderBy(F.xxhash64(*others))
+    single = single.withColumn(nth, F.row_number().over(rows)).where(F.col(nth) == 1).drop(doc, digest, nth)
     return single.unionByName(docs.where("doc_id is null"))
 
 

@@ -101,9 +101,19 @@ def test_components_of_a_long_chain_and_a_hub(spark):
 
 
 def test_keep_one(spark):
-    rows = [(3, "a b c", "x"), (1, "a b c", "y"), (2, "entirely other words here", "z"), (2, "entirely other words here", "a"), (None, "q", "n")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, _group string")
+    rows = [
+        (3, "a b c", "x"), (1, "a b c", "y"), (2, "entirely other words here", "z"), (2, "entirely other words here", "a"),
+        (2, "and of the same id, but no copy of it at all", "b"), (4, "AND of the same id, but no copy of it at all", "c"),
+        (None, "q", "n"), (5, None, "e"), (6, "", "f"),
+    ]
+    schema = "doc_id long, text string, kept_doc string, _doc int, kept_digest map<string,int>, digest array<int>, nth_row int, _place_of_doc_id int"
+    docs = spark.createDataFrame([(*r, 1, {"k": 1}, [2], 3, 4) for r in rows], schema)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(((r.doc_id, r._group) for r in kept.collect()), key=str) == [(1, "y"), (2, "a"), (None, "n")]
-    assert kept.where(F.col("doc_id") == 2).count() == 1
+    got = sorted(((r.doc_id, r.text, r.kept_doc) for r in kept.collect()), key=str)
+    assert [g[:2] for g in got] == sorted(
+        [(1, "a b c"), (2, rows[2][1]), (2, rows[4][1]), (None, "q"), (5, None)], key=str
+    )
+    assert [tuple(r) for r in kept.where("doc_id = 1").collect()] == [(1, "a b c", "y", 1, {"k": 1}, [2], 3, 4)]
+    assert kept.where(F.col("doc_id") == 2).collect() == kept.where(F.col("doc_id") == 2).collect()
+    assert simhash.keep_one(docs.where("false")).collect() == []
