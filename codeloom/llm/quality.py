@@ -11,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.llm.common import documents, map_columns, slices, split_words, written
+from codeloom.llm.common import documents, map_columns, slices, split_words, unused, written
 
 BLANK = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 FEWEST_WORDS = 50
 WINDOW = 3
+# Words of which the different ones are counted together, so that the count of a text of any length means the same.
+STRETCH = 1000
 KEEP_FROM = 0.5
 
 COUNTS = (
@@ -30,7 +32,8 @@ def text_counts(text: bytes | None) -> tuple[int, ...]:
     """The ``COUNTS`` of one UTF-8 text; null and empty texts count nothing.
 
     ``n_marks``: words of ASCII punctuation alone; ``n_ends``: words that end in ``.``, ``!`` or ``?``;
-    ``n_upper``: words whose ASCII letters are all capitals, two bytes or more.
+    ``n_upper``: words whose ASCII letters are all capitals, two bytes or more; ``n_distinct``: different words of
+    each ``STRETCH`` words, added up.
     """
     text = text or b""
     words = split_words(text)
@@ -55,7 +58,7 @@ def text_counts(text: bytes | None) -> tuple[int, ...]:
         sum(not w.strip(MARKS) for w in words),
         sum(w.endswith((b".", b"!", b"?")) for w in words),
         sum(w.isupper() and len(w) > 1 for w in words),
-        len(set(words)),
+        sum(len(set(words[i : i + STRETCH])) for i in range(0, len(words), STRETCH)),
     )
 
 
@@ -113,7 +116,7 @@ def rules(at: str = "") -> list[Rule]:
         Rule("bare_marks", marks > 0.3, marks < 0.05),
         Rule("sentence_ends", ends > 0.4, (ends > 0.01) & (ends < 0.25)),
         Rule("capitals", upper > 0.3, upper < 0.05),
-        Rule("distinct_words", (distinct < 0.2) & (words < 5000), distinct > 0.45),
+        Rule("distinct_words", distinct < 0.2, distinct > 0.45),
     ]
 
 
@@ -139,8 +142,8 @@ START_IN_BAD = (0.4, 0.2, 0.4)
 START_IN_GOOD = (0.02, 0.28, 0.7)
 # Votes that each rule's table is given in advance, spread as at the start.
 PRIOR_VOTES = 2.0
-# A bad vote is taken to be at least so many times likelier in a bad text than in a good one.
-BETTER_THAN_CHANCE = 10.0
+# A bad vote is taken to be at least so many times likelier in a bad text than in a good one: better than chance, no more.
+BETTER_THAN_CHANCE = 1.0
 
 
 def _sound(bad: list[float], good: list[float]) -> tuple[tuple[float, ...], tuple[float, ...]]:
@@ -224,23 +227,26 @@ def judge(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, all columns, each row judged by its own text.
 
-    The texts are counted twice, for the fit and for the verdicts, and never shuffled.
+    The texts are counted twice, for the fit and for the verdicts, and never shuffled. Null and empty texts fail the base,
+    long ones are counted whole, repeated rows are each kept or not, columns of any name stay, and an empty table
+    gives an empty one.
     """
     names = [r.name for r in rules()]
     model = _fit_votes(_votes(docs), names)
     inner = ", ".join(f"{c}: bigint" for c in COUNTS)
-    target = docs.withColumn("_counts", F.lit(None).cast(f"struct<{inner}>")).schema
+    counts = unused(docs.columns, "_counts")
+    target = docs.withColumn(counts, F.lit(None).cast(f"struct<{inner}>")).schema
 
     def with_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
             rows = [dict(zip(COUNTS, text_counts(t))) for t in texts]
             kind = pa.struct([(c, pa.int64()) for c in COUNTS])
-            yield b.append_column("_counts", pa.array(rows, kind))
+            yield b.append_column(counts, pa.array(rows, kind))
 
-    votes = [r.vote() for r in rules("_counts.")]
-    good = ~_fails_base("_counts.") & (model.quality(votes) >= KEEP_FROM)
-    return docs.mapInArrow(with_counts, target).where(good).drop("_counts")
+    votes = [r.vote() for r in rules(f"{counts}.")]
+    good = ~_fails_base(f"{counts}.") & (model.quality(votes) >= KEEP_FROM)
+    return docs.mapInArrow(with_counts, target).where(good).drop(counts)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
