@@ -75,6 +75,54 @@ def _blocks(df: DataFrame, id_col: str, vec_col: str, label_col: str | None, n:
     )
 
 
+def block_products(pairs: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
+    """The ``k`` nearest rows of each corpus block for every row of the query block beside it, not ranked."""
+    schema = T.StructType(
+        [
+            T.StructField("query_id", id_type),
+            T.StructField("neighbour_id", id_type),
+            T.StructField("similarity", T.DoubleType()),
+            T.StructField("query_labels", T.ArrayType(T.StringType())),
+            T.StructField("neighbour_labels", T.ArrayType(T.StringType())),
+        ]
+    )
+
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                q_ids, q_vecs, q_labels, c_ids, c_vecs, c_labels = (
+                    batch.column(f"{side}_{part}")[i].values
+                    for side in "qc"
+                    for part in ("ids", "vecs", "labels")
+                )
+                q_unit, c_unit = _unit(q_vecs, len(q_ids)), _unit(c_vecs, len(c_ids))
+                q_keys, c_keys = (x.to_numpy(zero_copy_only=False) for x in (q_ids, c_ids))
+                for start in range(0, len(q_ids), SLICE_ROWS):
+                    part = slice(start, start + SLICE_ROWS)
+                    sims = np.round(q_unit[part] @ c_unit.T, SIMILARITY_DECIMALS)
+                    _, same_q, same_c = np.intersect1d(q_keys[part], c_keys, return_indices=True)
+                    sims[same_q, same_c] = -np.inf
+                    rows, cols = best_of_block(sims, k)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            q_ids.take(pa.array(rows + start)),
+                            c_ids.take(pa.array(cols)),
+                            pa.array(sims[rows, cols]),
+                            q_labels.take(pa.array(rows + start)),
+                            c_labels.take(pa.array(cols)),
+                        ],
+                        names=schema.names,
+                    )
+
+    return pairs.mapInArrow(product, schema)
+
+
+def best_hits(found: DataFrame, k: int) -> DataFrame:
+    """``found`` with ``rank``, the best ``k`` of each query: descending similarity, then the smaller id."""
+    best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "neighbour_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
 def top_k_neighbours(
     queries: DataFrame,
     corpus: DataFrame,
@@ -119,49 +167,7 @@ def top_k_neighbours(
         right = right.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
         pairs = left.join(right, ["c", "g"]).drop("c", "q", "g")
 
-    schema = T.StructType(
-        [
-            T.StructField("query_id", id_type),
-            T.StructField("neighbour_id", id_type),
-            T.StructField("similarity", T.DoubleType()),
-            T.StructField("query_labels", T.ArrayType(T.StringType())),
-            T.StructField("neighbour_labels", T.ArrayType(T.StringType())),
-        ]
-    )
-
-    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                q_ids, q_vecs, q_labels, c_ids, c_vecs, c_labels = (
-                    batch.column(f"{side}_{part}")[i].values
-                    for side in "qc"
-                    for part in ("ids", "vecs", "labels")
-                )
-                q_unit, c_unit = _unit(q_vecs, len(q_ids)), _unit(c_vecs, len(c_ids))
-                q_keys, c_keys = (x.to_numpy(zero_copy_only=False) for x in (q_ids, c_ids))
-                for start in range(0, len(q_ids), SLICE_ROWS):
-                    part = slice(start, start + SLICE_ROWS)
-                    sims = np.round(q_unit[part] @ c_unit.T, SIMILARITY_DECIMALS)
-                    _, same_q, same_c = np.intersect1d(q_keys[part], c_keys, return_indices=True)
-                    sims[same_q, same_c] = -np.inf
-                    rows, cols = best_of_block(sims, k)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            q_ids.take(pa.array(rows + start)),
-                            c_ids.take(pa.array(cols)),
-                            pa.array(sims[rows, cols]),
-                            q_labels.take(pa.array(rows + start)),
-                            c_labels.take(pa.array(cols)),
-                        ],
-                        names=schema.names,
-                    )
-
-    best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "neighbour_id")
-    ranked = (
-        pairs.mapInArrow(product, schema)
-        .withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-    )
+    ranked = best_hits(block_products(pairs, k, id_type), k)
     columns = ["query_id", "rank", "neighbour_id", "similarity"]
     return ranked.select(
         *columns, *(["query_labels", "neighbour_labels"] if label_col else [])

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import SparkSession
 
 def build_session(app: str = "codeloom", cpus: int | None = None) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
@@ -36,3 +38,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back, so that a lost executor costs a reread."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
