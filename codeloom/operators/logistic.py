@@ -16,7 +16,7 @@ from codeloom.functions.vectors import with_length
 # Partial sums that meet in one task, or on the driver; more are added up in a tree.
 FAN_IN = 64
 # Steps that the direction remembers, and trial points of a line search at most.
-MEMORY = 10
+MEMORY = 40
 TRIALS = 25
 # A step must lower the value by this share of the slope, and flatten the slope to that.
 DECREASE, CURVATURE = 1e-4, 0.9

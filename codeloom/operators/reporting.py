@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from codeloom.session import stored
+
 
 def _long(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """``(column, v)`` for every listed value, nulls left out."""
@@ -65,76 +69,110 @@ def histogram(df: DataFrame, columns: dict[str, Column], bins: int = 30) -> Data
     )
 
 
-# Pieces a column is cut into before the wanted ones are ordered.
+# Pieces that a stretch of values is cut into in one round.
 PIECES = 32
+# Distinct values that are ordered in one task at most.
+ORDERED = 20_000
 
 
 def value_counts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``(column, v, n)``: distinct values with their counts, summed map-side first.
-
-    The filter is always true. It keeps the count alive in readers that need only
-    the values, so that all of them share one exchange.
-    """
+    """``(column, v, n)``: distinct values with their counts, summed map-side first."""
     counts = _long(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("_n"))
     return counts.where(F.col("_n") > 0)
 
 
-def exact_quantiles(
-    values: DataFrame, probs: tuple[float, ...] = (0.25, 0.5, 0.75)
-) -> DataFrame:
-    """``(column, prob, value)``: exact quantiles of ``value_counts``, interpolated.
+@dataclass(frozen=True)
+class Stretch:
+    """Values of a column from ``low`` on and below ``high`` (None: all) that hold wanted ranks.
 
-    Approximate cut points split the distinct values of each column into
-    ``PIECES`` pieces, counts per piece tell which pieces hold the wanted ranks,
-    and only those are ordered. The cut points decide how even the pieces are,
-    never the result. All steps read the one exchange of the counts. The cut points
-    join as plain columns of one row per column, so placing a value is a row of
-    compiled comparisons.
+    ``before``: rows below it; ``rows`` and ``distinct``: what it holds.
     """
+
+    column: str
+    low: float | None
+    high: float | None
+    before: int
+    rows: int
+    distinct: int
+
+
+def _inside(values: DataFrame, stretches: list[Stretch]) -> DataFrame:
+    """The values of the stretches, with their number ``_s``; there are at most as many stretches as wanted ranks."""
+    table = [(i, s.column, s.low, s.high, s.before) for i, s in enumerate(stretches)]
+    schema = "_s int, column string, _low double, _high double, _before long"
+    known = values.sparkSession.createDataFrame(table, schema)
+    fits = (F.col("_low").isNull() | (F.col("v") >= F.col("_low"))) & (F.col("_high").isNull() | (F.col("v") < F.col("_high")))
+    return values.join(F.broadcast(known), "column").where(fits)
+
+
+def _cut(values: DataFrame, stretches: list[Stretch], ranks: dict[str, set[int]]) -> list[Stretch]:
+    """The pieces of the stretches that hold wanted ranks; approximate cut points decide only how even they are."""
+    inside = _inside(values, stretches)
     numbers = range(1, PIECES)
     cuts = (
-        values.groupBy("column")
-        .agg(
-            F.percentile_approx("v", [i / PIECES for i in numbers], 16 * PIECES).alias("_a")
-        )
-        .selectExpr("column", *[f"_a[{i - 1}] AS _c{i}" for i in numbers])
-    )
-    placed = values.join(F.broadcast(cuts), "column").select(
-        "column",
-        "v",
-        "_n",
-        F.expr(" + ".join(f"CAST(v >= _c{i} AS INT)" for i in numbers)).alias("_piece"),
+        inside.groupBy("_s")
+        .agg(F.percentile_approx("v", [i / PIECES for i in numbers], 16 * PIECES).alias("_a"))
+        .selectExpr("_s", *[f"_a[{i - 1}] AS _c{i}" for i in numbers])
     )
-    sizes = placed.groupBy("column", "_piece").agg(F.sum("_n").alias("_size"))
-    # At most one row per column and piece.
-    running = sizes.select(
-        "column",
-        "_piece",
-        F.sum("_size").over(Window.partitionBy("column").orderBy("_piece")).alias("_upto"),
-        "_size",
-        F.sum("_size").over(Window.partitionBy("column")).alias("_total"),
-    )
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    ranks = (
-        running.select("*", wanted.alias("prob"))
-        .withColumn("_at", F.col("prob") * (F.col("_total") - 1))
-        .select(
-            "column", "prob", "_piece", "_upto", "_size", "_at",
-            F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))).alias("_rank"),
-        )
-        .where(
-            (F.col("_rank") >= F.col("_upto") - F.col("_size")) & (F.col("_rank") < F.col("_upto"))
-        )
-    )
-    targets = ranks.select("column", "_piece", (F.col("_upto") - F.col("_size")).alias("_before"))
-    inside = placed.join(F.broadcast(targets.distinct()), ["column", "_piece"])
-    window = Window.partitionBy("column", "_piece").orderBy("v")
-    upto = inside.select(
-        "column", "v", "_n", (F.col("_before") + F.sum("_n").over(window)).alias("_last")
-    )
-    picked = upto.join(
-        F.broadcast(ranks.select("column", "prob", "_at", "_rank")), "column"
-    ).where((F.col("_rank") < F.col("_last")) & (F.col("_rank") >= F.col("_last") - F.col("_n")))
+    cuts = stored(cuts, "cuts")
+    piece = F.expr(" + ".join(f"CAST(v >= _c{i} AS INT)" for i in numbers)).alias("_piece")
+    counted = (
+        inside.join(F.broadcast(cuts), "_s").select("_s", "_n", piece)
+        .groupBy("_s", "_piece").agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("distinct"))
+        .orderBy("_s", "_piece").collect()
+    )  # a row for each piece
+    edges = {r["_s"]: [r[f"_c{i}"] for i in numbers] for r in cuts.collect()}
+    out, upto = [], {}
+    for r in counted:
+        s = stretches[r["_s"]]
+        before = upto.get(r["_s"], s.before)
+        upto[r["_s"]] = before + r["rows"]
+        if any(before <= rank < before + r["rows"] for rank in ranks[s.column]):
+            low = edges[r["_s"]][r["_piece"] - 1] if r["_piece"] else s.low
+            above = edges[r["_s"]][r["_piece"] :]
+            high = above[0] if above else s.high
+            out.append(Stretch(s.column, low, high, before, r["rows"], r["distinct"]))
+    return out
+
+
+def wanted_stretches(values: DataFrame, ranks: dict[str, set[int]], sizes: dict[str, tuple[int, int]], ordered: int) -> list[Stretch]:
+    """Stretches of at most ``ordered`` distinct values that hold all wanted ranks, by as many rounds of cutting as it takes.
+
+    A round divides a stretch into ``PIECES`` of about equally many distinct values, so the rounds grow with the
+    logarithm of the input.
+    """
+    done: list[Stretch] = []
+    large = [Stretch(c, None, None, 0, *sizes[c]) for c in ranks]
+    while True:
+        done += [s for s in large if s.distinct <= ordered]
+        large = [s for s in large if s.distinct > ordered]
+        if not large:
+            return done
+        large = _cut(values, large, ranks)
+
+
+def exact_quantiles(
+    values: DataFrame, probs: tuple[float, ...] = (0.25, 0.5, 0.75), ordered: int = ORDERED
+) -> DataFrame:
+    """``(column, prob, value)``: exact quantiles of ``value_counts``, interpolated.
+
+    The wanted ranks are narrowed down to stretches of at most ``ordered`` distinct values, and only those are
+    ordered, each in a task. Every round reads the values anew, so hand in a written table.
+    """
+    ordered = max(1, ordered)
+    heads = values.groupBy("column").agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("distinct")).collect()
+    sizes = {r["column"]: (r["rows"], r["distinct"]) for r in heads}
+    places = [(c, float(p), p * (rows - 1)) for c, (rows, _) in sizes.items() for p in probs]
+    ranks: dict[str, set[int]] = {}
+    for column, _, at in places:
+        ranks.setdefault(column, set()).update((floor(at), ceil(at)))
+    stretches = wanted_stretches(values, ranks, sizes, ordered)
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy("_s").orderBy("v"))
+    placed = _inside(values, stretches).select("column", "v", "_n", upto.alias("_upto"))
+    wanted = [(c, p, at, r) for c, p, at in places for r in sorted({floor(at), ceil(at)})]
+    asked = values.sparkSession.createDataFrame(wanted, "column string, prob double, _at double, _rank long")
+    hit = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n"))
+    picked = placed.join(F.broadcast(asked), "column").where(hit)
     low, high = F.min("v"), F.max("v")
     return picked.groupBy("column", "prob").agg(
         (low + (high - low) * (F.max("_at") - F.floor(F.max("_at")))).alias("value")
@@ -144,10 +182,10 @@ def exact_quantiles(
 def describe(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """One row per column: count, mean, sample std, min, quartiles, max; 2 decimals.
 
-    The table is read once, into counts of distinct values; moments and quartiles
+    The table is read once, into written counts of distinct values; moments and quartiles
     come from those. The deviation is summed around the mean, not from squares.
     """
-    values = value_counts(df, columns)
+    values = stored(value_counts(df, columns), "value-counts")
     v, n = F.col("v"), F.col("_n")
     first = values.groupBy("column").agg(
         F.sum(n).alias("count"),

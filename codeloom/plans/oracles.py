@@ -717,6 +717,9 @@ FROM ranked WHERE rank <= 3""",
     "CASE WHEN source IN ('src0', 'src1') THEN 0 ELSE 24 END AS embedding_dim, "
     "CASE source WHEN 'src0' THEN 'code field must not be empty' "
     "WHEN 'src1' THEN 'no function definition found' ELSE 'scored' END AS outcome FROM documents",
+    "sco2_score_stream_once": "SELECT doc_id AS request_id, CASE source WHEN 'src0' THEN 'code field must not be empty' "
+    "WHEN 'src1' THEN 'no function definition found' ELSE 'scored' END AS outcome, "
+    "CAST(1 AS BIGINT) AS n_answers FROM documents",
     "sco3_compare_rule_and_model": f"""
 WITH {SCORED},
 d AS (

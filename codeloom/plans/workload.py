@@ -994,32 +994,38 @@ def sco1_score_sources(spark, sf):
     )
 
 
-@query
-def sco2_score_stream(spark, sf):
+def _requests(spark, sf):
     """Documents as requests of C code; those of source ``src0`` send blank code, those of ``src1`` no function."""
-    requests, models, out, progress = (
-        scratch(spark, n) for n in ("requests", "models", "scored", "progress")
-    )
     documents = spread(table(spark, sf, "documents"))
     code = sources_from_documents(documents).select(
         F.regexp_extract("file_path", r"\Ad(\d+)", 1).cast("long").alias("doc_id"),
         F.col("text").alias("code"),
     )
-    documents.select("doc_id", "source").join(code, "doc_id").select(
+    requests = documents.select("doc_id", "source").join(code, "doc_id").select(
         F.col("doc_id").alias("request_id"),
         F.when(F.col("source") == "src0", "  \n").when(F.col("source") == "src1", "int x;\n").otherwise(F.col("code")).alias("code"),
-    ).write.json(requests)
+    )
     functions = X.extract_functions(
         code.select(F.col("doc_id").cast("string").alias("file_path"), F.col("code").alias("text"))
     )
+    return requests, functions
+
+
+def _answered(spark, requests, functions, rounds):
+    """Outcomes of a stream that is started ``rounds`` times on its checkpoint, each time with all requests in new files."""
+    inbox, models, out, progress = (
+        scratch(spark, n) for n in ("requests", "models", "scored", "progress")
+    )
     io.save_model_tables(
         M.fit_scaler(functions, M.feature_columns()),
         fixed_model(SCORE_DIM + 8).table(spark),
         models,
     )
-    jobs.score_stream(
-        spark, requests, models, out, progress, encode=_encode_small, dim=SCORE_DIM + 8
-    ).awaitTermination()
+    for _ in range(rounds):
+        requests.write.mode("append").json(inbox)
+        jobs.score_stream(
+            spark, inbox, models, out, progress, encode=_encode_small, dim=SCORE_DIM + 8
+        ).awaitTermination()
     scored = spark.read.parquet(f"{out}/scored").select(
         "request_id", "name", "embedding_dim", F.lit("scored").alias("outcome")
     )
@@ -1030,6 +1036,19 @@ def sco2_score_stream(spark, sf):
     return scored.unionByName(rejected)
 
 
+@query
+def sco2_score_stream(spark, sf):
+    return _answered(spark, *_requests(spark, sf), rounds=1)
+
+
+@query
+def sco2_score_stream_once(spark, sf):
+    """Every request sent twice in one run and once more after a restart; the answers of each are counted."""
+    requests, functions = _requests(spark, sf)
+    answers = _answered(spark, requests.unionByName(requests), functions, rounds=2)
+    return answers.groupBy("request_id", "outcome").agg(F.count(F.lit(1)).alias("n_answers"))
+
+
 @query
 def sco3_compare_rule_and_model(spark, sf):
     return S.compare_rule_and_model(_scored(spark, sf)).select(

@@ -157,3 +157,20 @@ def test_fit_without_rows_or_with_bad_vectors(spark):
     bad = df.unionByName(spark.createDataFrame([(99, [1.0], ["io"])], VEC))
     with pytest.raises(Exception, match="expected 8 entries"):
         C.fit_one_vs_rest(bad, "v", "labels", NAMES)
+
+
+@pytest.mark.parametrize("ordered", [1, 40])
+def test_quantiles_of_all_distinct_values_order_few_of_them(spark, ordered, monkeypatch):
+    rng = np.random.default_rng(6)
+    frame = pd.DataFrame({"x": rng.permutation(5000) / 7, "y": np.where(rng.random(5000) < 0.4, 3.5, rng.lognormal(2, 3, 5000))})
+    frame["z"] = rng.integers(0, 2, 5000) * 1.0
+    found = []
+    once = R.wanted_stretches
+    monkeypatch.setattr(R, "wanted_stretches", lambda *a: found.extend(once(*a)) or list(found))
+    values = R.value_counts(spark.createDataFrame(frame), {c: F.col(c) for c in frame}).persist()
+    got = {(r.column, r.prob): r.value for r in R.exact_quantiles(values, (0.0, 0.1, 0.5, 0.999, 1.0), ordered).collect()}
+    for c in frame:
+        for p in (0.0, 0.1, 0.5, 0.999, 1.0):
+            assert got[c, p] == pytest.approx(np.quantile(frame[c], p), rel=1e-12)
+    assert len(found) <= 30 and all(s.distinct <= ordered for s in found)
+    assert R.exact_quantiles(values.where("false")).collect() == []

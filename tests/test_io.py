@@ -101,6 +101,17 @@ def test_score_stream(spark, tmp_path):
     # Every request has an outcome: blank code, and code that holds no function, are told apart.
     rejected = {r.request_id: r.reason for r in spark.read.parquet(f"{out}/rejected").collect()}
     assert rejected == {2: "code field must not be empty", 3: "no function definition found"}
+    # Ids that come again are not answered again, in one file, in one batch or after a restart.
+    send("three", (1, "int f2(int a) { return 0; }"), (5, "void l(void) { }"), (5, "void l(void) { }"), (2, " "))
+    send("four", (5, "void l(void) { }"), (6, "void m(void) { }"), (None, "void n(void) { }"), (None, "void n(void) { }"), (None, "void o(void) { }"))
+    run()
+    send("five", (6, "void m(void) { }"), (4, "void k(void) { }"), (None, "void o(void) { }"), (3, "int x;"))
+    run()
+    scored = spark.read.parquet(f"{out}/scored").collect()
+    assert sorted((r.request_id, r.name) for r in scored) == [(1, "f"), (1, "h"), (4, "k"), (5, "l"), (6, "m")]
+    rejected = sorted(((r.request_id, r.reason) for r in spark.read.parquet(f"{out}/rejected").collect()), key=str)
+    nameless = (None, "request_id field must not be empty")
+    assert rejected == [(2, "code field must not be empty"), (3, "no function definition found"), nameless, nameless]
 
 
 def test_enrich_incremental_resumes(spark, tmp_path):
