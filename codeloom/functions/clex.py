@@ -137,6 +137,23 @@ _LOCAL_FN_POINTER = (
     r"[{};]\s*+(?!(?:return|goto|else|case|sizeof)\b)"
     rf"(?:{IDENT}\s*+)++\(\s*+(\*[\s*]*+){IDENT}\s*+\)\s*+\("
 )
+# A statement  name * other;  multiplies two variables, or declares a pointer if the name is a type.
+_EITHER = (
+    rf"(?=[{{}};f])(?:[{{}};]|\bfor\s*+\()\s*+(?!(?:{'|'.join(NON_CALL_WORDS)})\b)"
+    rf"({IDENT}\s*+\*[\s*]*+{IDENT}(?:\s*+\[[^\[\]]*+\])*+(?:\s*+,[\s*]*+{_DECLARATOR})*+)(?=\s*+;)"
+)
+_BRACES = _balanced(r"\{", r"\}", 20)
+_TYPEDEF = rf"\btypedef\b((?:[^;{{}}]++|{_BRACES})*+);"
+# What names a type without doubt: a cast to a pointer, a declaration of two names, a pointer parameter.
+_POINTER_CAST = rf"\(\s*+(?:const\s++)?+({IDENT})\s*+\*[\s*]*+\)"
+_PLAIN_DECLARATION = rf"[{{}};]\s*+(?!(?:{'|'.join(NON_CALL_WORDS)})\b)({IDENT})\s++{IDENT}\s*+(?=[;=,\[])"
+_POINTER_PARAMETER = rf"[(,]\s*+(?:const\s++)?+({IDENT})\s*+\*[\s*]*+(?:const\s++)?+{IDENT}\s*+(?=[,)\[])"
+# Type names of the standard headers.
+STANDARD_TYPES = [
+    "FILE", "bool", "char16_t", "char32_t", "clock_t", "div_t", "errno_t", "fpos_t", "int16_t", "int32_t", "int64_t",
+    "int8_t", "intmax_t", "intptr_t", "jmp_buf", "off_t", "ptrdiff_t", "sig_atomic_t", "size_t", "ssize_t", "time_t",
+    "uint16_t", "uint32_t", "uint64_t", "uint8_t", "uintmax_t", "uintptr_t", "va_list", "wchar_t", "wint_t",
+]
 
 
 def chunks(text: Column) -> Column:
@@ -383,6 +400,40 @@ def pointer_count(header: Column, body: Column) -> Column:
     return F.regexp_count(header, F.lit(_HEADER_STAR)) + F.regexp_count(pointers, F.lit(r"\*"))
 
 
+def either_pointers(body: Column) -> Column:
+    """Statements of a cleaned body that declare pointers only if a name is a type: ``array<struct<name,stars>>``."""
+    found = F.regexp_extract_all(body, F.lit(_EITHER), F.lit(1))
+    return F.transform(
+        found,
+        lambda m: F.struct(
+            F.regexp_extract(m, rf"\A{IDENT}", 0).alias("name"),
+            F.regexp_count(F.regexp_replace(m, _INITIALISER, ""), F.lit(r"\*")).alias("stars"),
+        ),
+    )
+
+
+def type_names(clean: Column) -> Column:
+    """Names that a cleaned file defines by ``typedef`` or uses as types without doubt, each once."""
+    typedefs = F.regexp_extract_all(clean, F.lit(_TYPEDEF), F.lit(1))
+
+    def defined(text: Column) -> Column:
+        pointers = F.regexp_extract_all(text, F.lit(rf"\(\s*+\*[\s*]*+({IDENT})\s*+\)\s*+\("), F.lit(1))
+        plain = F.regexp_replace(F.regexp_replace(text, rf"{_BRACES}|{_INDEX}", " "), _GROUP, " ")
+        last = F.transform(F.split(plain, ","), lambda d: F.regexp_extract(d, rf"({IDENT})\s*+\z", 1))
+        return F.when(F.size(pointers) > 0, F.slice(pointers, 1, 1)).otherwise(last)
+
+    used = [F.regexp_extract_all(clean, F.lit(p), F.lit(1)) for p in (_POINTER_CAST, _PLAIN_DECLARATION, _POINTER_PARAMETER)]
+    names = F.concat(F.flatten(F.transform(typedefs, defined)), *used)
+    return F.array_distinct(F.filter(names, lambda n: (n != "") & ~n.isin(NON_CALL_WORDS)))
+
+
+def declares_variable(clean: Column, name: Column) -> Column:
+    """Whether a cleaned definition declares a variable or parameter ``name``."""
+    before = rf"\b(?!(?:return|goto|else|case|sizeof)\b){IDENT}(?:\s++|\s*+\*[\s*]*+)"
+    pattern = F.concat(F.lit(before), name, F.lit(r"\s*+[;=,\[)]"))
+    return F.call_function("rlike", clean, pattern)
+
+
 def line_count(code: Column) -> Column:
     return F.length(code) - F.length(F.replace(code, F.lit("\n"), F.lit(""))) + 1
 

@@ -120,6 +120,44 @@ def extract_functions(sources: DataFrame) -> DataFrame:
     )
 
 
+def known_types(sources: DataFrame) -> DataFrame:
+    """``(name)``: every type name that some file of the corpus defines or uses as a type without doubt, and the standard ones.
+
+    Names are told apart within a file before they are exploded, and summed up before they are shuffled.
+    """
+    clean = clex.squeezed(clex.without_trivia(F.col("text")))
+    standard = sources.sparkSession.createDataFrame([(n,) for n in clex.STANDARD_TYPES], "name string")
+    return sources.select(F.explode(clex.type_names(clean)).alias("name")).unionByName(standard).distinct()
+
+
+def resolve_pointers(functions: DataFrame, types: DataFrame) -> DataFrame:
+    """``functions`` with ``pointer_count`` less the stars of statements ``a * b;`` that only multiply.
+
+    Such a statement declares pointers if ``a`` is one of ``types(name)`` and the function declares no variable of this
+    name. Only functions that hold such statements take part in the joins; the others are not moved for them where these are few.
+    """
+    clean = F.col("_clean")
+    either = (
+        functions.where(F.col("function_code").contains("*"))
+        .select("function_id", clex.squeezed(clex.without_trivia(F.col("function_code"))).alias("_clean"))
+        .select("function_id", "_clean", F.explode(clex.either_pointers(clex.body_of(clean))).alias("_one"))
+        .select(
+            "function_id", F.col("_one.name").alias("name"), F.col("_one.stars").alias("_stars"),
+            clex.declares_variable(clean, F.col("_one.name")).alias("_variable"),
+        )
+        .groupBy("function_id", "name").agg(F.sum("_stars").alias("_stars"), F.first("_variable").alias("_variable"))
+    )
+    known = types.select("name").distinct().withColumn("_known", F.lit(True))
+    surplus = (
+        either.join(known, "name", "left").where(F.col("_known").isNull() | F.col("_variable"))
+        .groupBy("function_id").agg(F.sum("_stars").cast("int").alias("_surplus"))
+    )
+    less = F.col("ast_features.pointer_count") - F.coalesce("_surplus", F.lit(0))
+    return functions.join(surplus, "function_id", "left").withColumn(
+        "ast_features", F.col("ast_features").withField("pointer_count", less)
+    ).select(*functions.columns)
+
+
 def rejected_sources(sources: DataFrame) -> DataFrame:
     """Files in which a definition may be missing: braces that do not balance, or top-level
     blocks that are neither function, type, initialiser nor linkage block."""

@@ -499,6 +499,16 @@ FROM p GROUP BY file_path""",
             (8, "pointer_count"), (9, "param_count"), (10, "line_count"), (11, "nesting_depth"),
         )
     },
+    "ext8_pointers_by_types": """
+WITH p AS (SELECT p_partkey AS k FROM part),
+cells AS (SELECT DISTINCT k % 50 AS r FROM p WHERE k % 3 = 0), hooks AS (SELECT DISTINCT k % 50 AS r FROM p WHERE k % 150 = 1),
+nodes AS (SELECT DISTINCT k % 11 AS r FROM p), grids AS (SELECT DISTINCT k % 7 AS r FROM p)
+SELECT 'p' || k || '#1' AS function_id, CAST(3
+  + CASE WHEN k % 50 IN (SELECT r FROM cells) THEN 1 ELSE 0 END
+  + CASE WHEN k % 50 IN (SELECT r FROM hooks) THEN 2 ELSE 0 END
+  + CASE WHEN (k + 1) % 11 IN (SELECT r FROM nodes) THEN 1 ELSE 0 END
+  + CASE WHEN (k + 3) % 7 IN (SELECT r FROM grids) THEN 2 ELSE 0 END AS INTEGER) AS pointer_count
+FROM p""",
     "ext12_control_flow_elements": _from_functions("function_id, control_flow"),
     "ext13_call_names": _from_functions("function_id, md5(array_to_string(calls, '|')) AS calls_digest"),
     "ext14_feature_struct": _from_functions(

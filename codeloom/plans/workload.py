@@ -21,7 +21,7 @@ from codeloom.operators import (
 from codeloom.plans import scoring as S
 from codeloom.schemas import FEATURE_ORDER
 from codeloom.sources import io
-from codeloom.sources.corpus import sources_from_documents, words
+from codeloom.sources.corpus import sources_from_documents, sources_from_part, words
 from codeloom.sources.tables import (
     corpus_facts,
     corpus_functions,
@@ -197,6 +197,14 @@ for _number, _name in (
     QUERIES[f"ext{_number}_{_name}"] = _feature(_name)
 
 
+@query
+def ext8_pointers_by_types(spark, sf):
+    """Pointers where statements ``a * b;`` are declarations or products by the type names of the corpus."""
+    sources = sources_from_part(spread(table(spark, sf, "part")))
+    functions = X.resolve_pointers(X.extract_functions(sources), X.known_types(sources))
+    return functions.select("function_id", F.col("ast_features.pointer_count").alias("pointer_count"))
+
+
 @query
 def ext12_control_flow_elements(spark, sf):
     return corpus_functions(spark, sf).select(

@@ -117,3 +117,26 @@ def sources_from_documents(documents: DataFrame) -> DataFrame:
             F.lit("return 0;\n}\n"),
         ).alias("text"),
     )
+
+
+def sources_from_part(part: DataFrame) -> DataFrame:
+    """One C file per row whose statements ``a * b;`` declare or multiply, as type names of all files tell."""
+    k = F.col("p_partkey")
+
+    def numbered(name: str, n: Column) -> Column:
+        return F.concat(F.lit(name), n.cast("string"))
+
+    fifty = (k % 50).cast("string")
+    own = numbered("w_", k)
+    return part.select(
+        numbered("p", k).alias("file_path"),
+        F.concat(
+            F.when(k % 3 == 0, F.concat(F.lit("typedef struct cell { int z; struct { int * y; } in; } cell_"), fifty, F.lit(";\n"))).otherwise(""),
+            F.when(k % 150 == 1, F.concat(F.lit("typedef unsigned long (*hook_"), fifty, F.lit(")(int, char *);\n"))).otherwise(""),
+            F.lit("int use_"), k.cast("string"), F.lit("("), numbered("grid_", k % 7), F.lit(" *g, int "), own, F.lit(")\n{\n  cell_"),
+            fifty, F.lit(" * c;\n  hook_"), fifty, F.lit(" * h[2], *i;\n  "),
+            own, F.lit(" * g;\n  "), numbered("area_", k), F.lit(" * height;\n  "),
+            numbered("node_", k % 11), F.lit(" one;\n  "), numbered("node_", (k + 1) % 11), F.lit(" * two;\n  "),
+            numbered("grid_", (k + 3) % 7), F.lit(" ** q;\n  uint8_t * r;\n  int * sure = 0;\n  return 0;\n}\n"),
+        ).alias("text"),
+    )

@@ -166,3 +166,26 @@ def test_callees_of_any_form(spark):
         "m[a[b[c]]]", "(*get(x))", "get", "((T)(p))->fn", "f(1)->g", "f", "h(1)", "h",
         "q", "(*cb)", "((T*)p)->run", "k", "w", "tab[i].go", "(a)->last", "deep",
     ]
+
+
+TYPES = r"""
+typedef struct tree { struct tree * left; int v; } tree_t, *tree_p;
+typedef int (*hook)(int *, char);
+typedef unsigned char byte, row[4];
+enum e { A };
+int f(list * l, int a, item **b) { a * b; list * x; tree_t * t, **u = 0; tree_p * v[2]; hook * h; byte * y; row * z; return a * b; }
+int g(int tree_t) { tree_t * a; free_name * b; size_t * n; x = (cast_t *) y; cast_t * c; thing one; thing * two; for (q * r; ;) { } }
+"""
+
+
+def test_products_are_no_pointers(spark):
+    src = spark.createDataFrame([("a.c", TYPES), ("b.c", "void h(int n) { tree_p * p; item * i; other * o; }")], SCHEMA)
+    types = {r.name for r in X.known_types(src).collect()}
+    assert types >= {"tree_t", "tree_p", "hook", "byte", "row", "list", "item", "cast_t", "thing", "size_t"}
+    assert not types & {"a", "b", "left", "free_name", "q", "other", "int", "tree", "l"}
+    functions = X.extract_functions(src)
+    got = {r.function_name: r.ast_features.pointer_count for r in X.resolve_pointers(functions, X.known_types(src)).collect()}
+    # f: two parameters (three stars), x, t, u (two), v, h, y, z; g: n, c, two; h: p and i
+    assert got == {"f": 3 + 1 + 1 + 2 + 1 + 1 + 1 + 1, "g": 3, "h": 2}
+    assert X.resolve_pointers(functions, X.known_types(src)).columns == functions.columns
+    assert X.resolve_pointers(functions.where("false"), X.known_types(src)).collect() == []
