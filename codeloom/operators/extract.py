@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codeloom.functions import clex
+from codeloom.functions import clex, treeheight
 from codeloom.schemas import FEATURE_ORDER
 
 
@@ -101,6 +101,11 @@ def function_facts(slices: DataFrame) -> DataFrame:
     )
 
 
+def with_tree_height(functions: DataFrame) -> DataFrame:
+    """Add ``tree_height``, the height of the syntax tree of ``function_code``; row by row, without a shuffle."""
+    return functions.withColumn("tree_height", treeheight.tree_height(F.col("function_code")))
+
+
 def feature_struct() -> Column:
     """The eight counts as one struct in canonical order."""
     return F.struct(*[F.col(f).cast("int").alias(f) for f in FEATURE_ORDER])

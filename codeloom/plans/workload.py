@@ -20,7 +20,7 @@ from codeloom.operators import (
 )
 from codeloom.plans import scoring as S
 from codeloom.schemas import FEATURE_ORDER
-from codeloom.sources import io
+from codeloom.sources import corpus, io
 from codeloom.sources.corpus import sources_from_documents, sources_from_part, words
 from codeloom.sources.tables import (
     corpus_facts,
@@ -205,6 +205,13 @@ def ext8_pointers_by_types(spark, sf):
     return functions.select("function_id", F.col("ast_features.pointer_count").alias("pointer_count"))
 
 
+@query
+def ext11_tree_height(spark, sf):
+    """Heights of the syntax trees of all functions that follow from line items."""
+    sources = corpus.sources_from_lineitem(spread(table(spark, sf, "lineitem")))
+    return X.with_tree_height(X.function_slices(sources)).select("function_id", "tree_height")
+
+
 @query
 def ext12_control_flow_elements(spark, sf):
     return corpus_functions(spark, sf).select(

@@ -1,6 +1,10 @@
+import random
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from codeloom.functions.treeheight import BINARY, RIGHT, height_of
 from codeloom.operators import extract as X
 from codeloom.sources.tables import corpus_sources
 
@@ -189,3 +193,80 @@ def test_products_are_no_pointers(spark):
     assert got == {"f": 3 + 1 + 1 + 2 + 1 + 1 + 1 + 1, "g": 3, "h": 2}
     assert X.resolve_pointers(functions, X.known_types(src)).columns == functions.columns
     assert X.resolve_pointers(functions.where("false"), X.known_types(src)).collect() == []
+
+
+@pytest.mark.parametrize("statement,height", [
+    ("x;", 1), (";", 1), ("a + b * c;", 3), ("a * b + c;", 3), ("a = b = c;", 3), ("a + b + c;", 3), ("!(a);", 3), ("f();", 3),
+    ("f(a, b + c);", 4), ("a->b->c;", 3), ("a.b++;", 3), ("*a[1]++;", 4), ("if (a) b; else c;", 3), ("if (a) b; else if (d) c;", 4),
+    ("do { x; } while (a + b);", 3), ("for (i = 0; i < n; i++) { g(); }", 5), ("return a ? b + 1 : c ? d : e;", 3), ("return;", 1),
+    ("switch (a) { case 1: x(); break; default: y; }", 6), ("x = (int) y;", 4), ("x = (T *) *y;", 5), ("int a = {1, {2}};", 4),
+    ("out: x;", 2), ("a ? b = 1 : c;", 3), ("x = sizeof(int);", 4), ("((T *)p)->run(k(4));", 7), ("(a)(b);", 3),
+])
+def test_tree_height_of_statements(statement, height):
+    assert height_of("int f(void) { " + statement + " }") == 2 + height
+
+
+def _grown(draw, depth):
+    """A random expression that is bracketed where its tree asks for it: text, height, level of its operator."""
+    kind = draw.choice(["leaf", "binary", "call", "index", "member", "unary", "group"]) if depth else "leaf"
+    if kind == "leaf":
+        return draw.choice(["a", "b1", "b42", '"s;{"', "'}'"]), 0, 99
+
+    def part(least):
+        text, height, level = _grown(draw, depth - 1)
+        return (text, height) if level > least else (f"({text})", height + 1)
+
+    if kind == "binary":
+        op = draw.choice([o for o in BINARY if o not in "?:"])
+        level = BINARY[op]
+        left, right = part(level if level in RIGHT else level - 0.5), part(level - 0.5 if level in RIGHT else level)
+        return f"{left[0]} {op} {right[0]}", 1 + max(left[1], right[1]), level
+    if kind == "unary":
+        text, height = part(12.5)
+        return draw.choice("-!~*&") + " " + text, 1 + height, 13
+    if kind == "group":
+        text, height, _ = _grown(draw, depth - 1)
+        return f"({text})", 1 + height, 99
+    text, height = part(13)
+    if kind == "member":
+        return text + draw.choice([".m", "->m"]), 1 + height, 99
+    inner = _grown(draw, depth - 1)
+    if kind == "index":
+        return f"{text}[{inner[0]}]", 1 + max(height, inner[1]), 99
+    other = _grown(draw, depth - 1)
+    return f"{text}({inner[0]}, {other[0]})", 1 + max(height, 1 + max(inner[1], other[1])), 99
+
+
+def test_tree_height_of_grown_functions():
+    draw = random.Random(8)
+
+    def statement(depth):
+        text, height, _ = _grown(draw, draw.randrange(5))
+        kind = draw.choice(["plain", "return", "if", "else", "while", "do", "block"]) if depth else "plain"
+        if kind in ("plain", "return"):
+            return ("return " if kind == "return" else "") + text + ";", 1 + height
+        one, two = statement(depth - 1), statement(depth - 1)
+        if kind == "block":
+            return "{ " + one[0] + "\n" + two[0] + " }", 1 + max(one[1], two[1])
+        if kind == "else":
+            return f"if ({text}) {{ {one[0]} }} else {two[0]}", 1 + max(1 + height, 1 + one[1], 1 + two[1])
+        if kind == "do":
+            return f"do {{ {one[0]} }} while ({text});", 1 + max(1 + one[1], 1 + height)
+        # The brace keeps an else that follows with its own if.
+        return f"{kind} ({text}) {{ {one[0]} }}", 1 + max(1 + height, 1 + one[1])
+
+    for _ in range(1500):
+        text, height = statement(draw.randrange(4))
+        assert height_of("int f(void) {\n#if A\n" + text + "\n#else\n{ x(((1)));\n#endif\n}") == 2 + height, text
+
+
+def test_tree_height_of_broken_and_deep_texts(spark):
+    draw = random.Random(1)
+    signs = "a b if while for switch do else case default return ( ) [ ] { } ; , : ? = + - * & -> . ++ ! sizeof int 1 goto ...".split()
+    for i in range(4000):
+        text = " ".join(draw.choice(signs) for _ in range(draw.randrange(30)))
+        assert height_of(("int f(void) { " if i % 2 else "") + text) >= 0
+    assert height_of("int f(void) { x = " + "(" * 50_000 + "a" + ")" * 50_000 + "; }") == 50_004
+    rows = spark.createDataFrame([(1, None), (2, ""), (3, "int f(void) { }")], "i int, function_code string")
+    assert [r.tree_height for r in X.with_tree_height(rows).orderBy("i").collect()] == [None, 0, 3]
+    assert "Exchange" not in plan_of(X.with_tree_height(rows))
