@@ -473,6 +473,7 @@ ORACLES: dict[str, str] = {
     )
     + " GROUP BY ALL",
     "src4_write_snapshot": "SELECT doc_id, lang, n_chars * 2 AS n_chars FROM documents",
+    "src4_claimed_versions": "SELECT doc_id, n_chars + 3 AS n_chars, 3 AS version FROM documents",
     "src5_save_vectors_and_labels": f"WITH {VECTORS} SELECT vec_id, CAST(len(e) AS INTEGER) AS dim, "
     "round(list_inner_product(e, e), 4) AS norm, array_to_string(labels, ',') AS labels FROM v",
     "src6_model_tables": _scaler_rows(", 4 AS n_classes"),
@@ -606,6 +607,10 @@ LEFT JOIN c ON c.doc_id = d.doc_id AND c.bucket = b LEFT JOIN s ON s.doc_id = d.
     "emb3_truncated_count": f"SELECT count(*) FILTER (WHERE len({_WORDS}) + 2 > 512) AS n_truncated, "
     "count(*) AS n_rows FROM documents",
     "emb4_pending_embeddings": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)",
+    "emb4_write_back": "SELECT d.doc_id, CAST(1 AS BIGINT) AS n_vectors, "
+    "round(coalesce(e.embedding[1]::DOUBLE, d.n_chars % 1000), 4) AS first_entry, "
+    "(SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)) AS n_first, CAST(0 AS BIGINT) AS n_second "
+    "FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id",
     "emb5_missing_counts": "SELECT CAST(0 AS BIGINT) AS doc_id, "
     "count(*) FILTER (WHERE l.quality IS NULL) AS quality, "
     "count(*) FILTER (WHERE e.embedding IS NULL) AS embedding FROM documents d "

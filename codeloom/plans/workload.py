@@ -33,6 +33,7 @@ from codeloom.sources.tables import (
     table,
     vectors_with_features,
 )
+from codeloom.sources.vectorstore import VectorStore, embed_missing
 from codeloom.streaming import jobs
 
 QUERIES: dict = {}
@@ -103,6 +104,17 @@ def src4_write_snapshot(spark, sf):
     return io.read_snapshot(spark, path).select("doc_id", "lang", "n_chars")
 
 
+@query
+def src4_claimed_versions(spark, sf):
+    """A version that another writer has claimed is left to it, and old versions are retired."""
+    path = scratch(spark, "snapshots")
+    documents = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    io.write_snapshot(documents, path)
+    io.claim(spark, path, 2)
+    last = io.write_snapshot(documents.withColumn("n_chars", F.col("n_chars") + 3), path, keep=1)
+    return io.read_snapshot(spark, path).select("doc_id", "n_chars", F.lit(int(last.rpartition("=")[2])).alias("version"))
+
+
 @query
 def src5_save_vectors_and_labels(spark, sf):
     path = scratch(spark, "vectors")
@@ -523,6 +535,27 @@ def emb4_pending_embeddings(spark, sf):
     return M.pending_embeddings(rows).select("doc_id")
 
 
+@query
+def emb4_write_back(spark, sf):
+    """The given vectors merged into a store, then every document that lacks one embedded, twice over."""
+    store = VectorStore(spark, scratch(spark, "vectors"), "doc_id")
+    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    store.merge(vectors)
+    documents = table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("long").alias("n_chars"))
+
+    def encode(rows):
+        return rows.withColumn("embedding", F.array((F.col("n_chars") % 1000).cast("float"), F.lit(1.0).cast("float")))
+
+    first = embed_missing(documents, store, encode)
+    second = embed_missing(documents, store, encode)
+    found = store.read(vectors).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_vectors"), F.round(F.max(F.col("embedding")[0].cast("double")), 4).alias("first_entry")
+    )
+    return documents.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id", "n_vectors", "first_entry", F.lit(first.n_new).cast("long").alias("n_first"), F.lit(second.n_written).cast("long").alias("n_second")
+    )
+
+
 @query
 def emb5_missing_counts(spark, sf):
     rows = (

@@ -1,5 +1,6 @@
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from codeloom.operators import enrichment as N
 from codeloom.operators import extract as X
 from codeloom.plans.workload import fixed_model
 from codeloom.sources import io
+from codeloom.sources.vectorstore import VectorStore, embed_missing
 from codeloom.streaming import jobs
 
 
@@ -132,3 +134,46 @@ def test_enrich_incremental_resumes(spark, tmp_path):
     jobs.enrich_incremental(spark, staged, df.schema, step, out, state).awaitTermination()
     rows = spark.read.parquet(out).collect()
     assert sorted(r.id for r in rows) == list(range(20)) and calls["n"] == 5
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    """Both start from the same version; both complete, none is lost."""
+    path = str(tmp_path / "versions")
+    io.write_snapshot(spark.range(1), path)
+    with ThreadPoolExecutor(4) as pool:
+        folders = list(pool.map(lambda n: io.write_snapshot(spark.range(n), path), range(10, 18)))
+    assert sorted(int(f.rpartition("=")[2]) for f in folders) == list(range(2, 10))
+    assert sorted(spark.read.parquet(f).count() for f in folders) == list(range(10, 18))
+    assert io.retire_snapshots(spark, path, 3) == list(range(1, 7))
+    assert io._versions(spark, path) == [7, 8, 9]
+    # A writer that gave up leaves a number without a version, and readers do not see it.
+    assert io.claim(spark, path, 10) and not io.claim(spark, path, 10)
+    assert io.write_snapshot(spark.range(5), path, keep=1).endswith("v=11")
+    assert io._versions(spark, path) == [11] and io.read_snapshot(spark, path).count() == 5
+
+
+def test_vector_store_rewrites_touched_buckets_only(spark, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "vectors"), "id", "v", buckets=16)
+    schema = "id long, v array<float>, other int"
+    rows = lambda ids, x: spark.createDataFrame([(i, [float(x), 0.0], 1) for i in ids], schema)
+    assert store.read(rows([], 0)).collect() == [] and store.merge(rows([], 0)).n_written == 0
+    assert store.merge(rows(range(1000), 1)).n_written == 1000
+    done = store.merge(rows([3, 2000, 2000], 2))
+    assert done.n_new == 2 and 2 < done.n_written < 250
+    found = {r.id: r.v[0] for r in store.read(rows([], 0)).collect()}
+    assert found == {i: 1.0 for i in range(1000)} | {3: 2.0, 2000: 2.0}
+    asked = []
+
+    def encode(missing):
+        asked.append(sorted(r.id for r in missing.collect()))
+        return missing.withColumn("v", F.when(F.col("id") != 1001, F.array(F.lit(9.0).cast("float"))))
+
+    table = spark.range(990, 1005)
+    assert embed_missing(table, store, encode).n_new == 4
+    assert embed_missing(table, store, encode).n_new == 0
+    assert asked == [[1000, 1001, 1002, 1003, 1004], [1001]]
+    # Two merges at once: the second is made again on top of the first.
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: store.merge(rows([5000 + n, 6000], n)), range(4)))
+    found = [r.id for r in store.read(rows([], 0)).collect()]
+    assert len(found) == len(set(found)) and set(range(5000, 5004)) | {6000} <= set(found) and len(found) == 1001 + 4 + 5
