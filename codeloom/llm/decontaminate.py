@@ -29,6 +29,10 @@ def normal_words(text: bytes | None) -> list[bytes]:
     return lower.translate(None, MARKS).split()
 
 
+# Pairs of equal windows for each id from which on the whole table of equal ids is read instead.
+DENSE = 20
+
+
 def rolling(ids: np.ndarray, length: int) -> np.ndarray:
     """Karp-Rabin hashes of all windows of ``length`` ids."""
     windows = max(0, len(ids) - length + 1)
@@ -84,9 +88,16 @@ def _runs(item, text, free_item, free_text, length) -> list[tuple[int, int, int]
 
     item_hashes, item_at = windows(item, free_item)
     text_hashes, text_at = windows(text, free_text)
-    kept = np.isin(text_hashes, item_hashes)
+    shared, item_counts = np.unique(item_hashes, return_counts=True)
+    kept = np.isin(text_hashes, shared)
+    text_hashes, text_at = text_hashes[kept], text_at[kept]
+    if not len(text_at):
+        return []
+    pairs = int(item_counts[np.searchsorted(shared, text_hashes)].sum())
+    if pairs > DENSE * (len(item) + len(text)):
+        return _dense_runs(item, text, item_at, text_at, length)
     places: dict[int, list[int]] = {}
-    for h, j in zip(text_hashes[kept].tolist(), text_at[kept].tolist()):
+    for h, j in zip(text_hashes.tolist(), text_at.tolist()):
         places.setdefault(h, []).append(j)
     runs, inside = [], set()
     for h, i in zip(item_hashes.tolist(), item_at.tolist()):
@@ -110,6 +121,35 @@ def _runs(item, text, free_item, free_text, length) -> list[tuple[int, int, int]
     return runs
 
 
+def _dense_runs(item, text, item_at, text_at, length) -> list[tuple[int, int, int]]:
+    """The runs of ``_runs`` where windows repeat so often that their pairs outnumber all ids.
+
+    Rows of the item are read one after the other, each against the whole text at once: a cell counts the equal ids before
+    it on its diagonal. Memory is that of the text, work the product of both without a list of pairs.
+    """
+    free = [np.zeros(len(x), bool) for x in (item, text)]
+    for mask, at in zip(free, (item_at, text_at)):
+        edge = np.zeros(len(mask) + 1, np.int64)
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + length, -1)
+        mask[:] = np.cumsum(edge[:-1]) > 0
+    runs = []
+    before = np.zeros(len(text), np.int64)
+    for i in range(len(item) + 1):
+        now = np.zeros(len(text), np.int64)
+        if i < len(item) and free[0][i]:
+            equal = free[1] & (text == item[i])
+            now[equal] = 1
+            now[1:][equal[1:]] += before[:-1][equal[1:]]
+        # A run ends where the next cell of its diagonal is not equal.
+        over = np.append(now[1:] == 0, True) & (before >= length)
+        for j in np.flatnonzero(over).tolist():
+            size = int(before[j])
+            runs.append((size, i - size, j - size + 1))
+        before = now
+    return runs
+
+
 @dataclass
 class Index:
     """Items as word numbers, and the seeds that lead to them."""

@@ -1,6 +1,7 @@
 """Tiling against a direct greedy search, and leaks against all pairs."""
 
 import random
+import time
 
 import numpy as np
 
@@ -43,6 +44,29 @@ def test_tiles_equal_a_direct_search():
             assert n >= 5 and (item[i : i + n] == text[j : j + n]).all()
 
 
+def test_dense_and_listed_runs_agree(monkeypatch):
+    draw = random.Random(9)
+    for _ in range(300):
+        words = draw.choice([1, 2, 3, 10])
+        item = np.array([draw.randrange(words) for _ in range(draw.randrange(5, 40))], np.int64)
+        text = np.array([draw.randrange(words) for _ in range(draw.randrange(5, 90))], np.int64)
+        found = []
+        for dense in (0, 10**9):
+            monkeypatch.setattr(dec, "DENSE", dense)
+            found.append(dec.tiles(item, text))
+        assert found[0] == found[1]
+
+
+def test_items_of_repeated_words_stay_cheap():
+    for period in (1, 2, 3):
+        item = np.arange(1, 1001, dtype=np.int64) % period + 1
+        text = np.arange(1, 20_001, dtype=np.int64) % period + 1
+        start = time.process_time()
+        assert dec.tiles(item, text) == [(0, 0, 1000)]
+        assert dec.tiles(np.tile(item, 1)[:800], text[:700])[0][2] >= 700 - period
+        assert time.process_time() - start < 20
+
+
 def plain_leaks(docs, items):
     rows = []
     for doc_id, text in docs:
