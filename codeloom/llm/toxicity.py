@@ -38,8 +38,33 @@ WORDS = {
         "said says say told wrote writes claimed claims quoted quotes called reported alleged dit écrit déclaré "
         "sagte schrieb behauptete dijo escribió afirmó"
     ),
-    "threat": "kill killed hurt destroy shoot burn stab strangle tuer töten matar",
 }
+# Fixed stems of verbs of harm and their endings, by language: a word that matches is the symbol "threat".
+HARM = {
+    "en": (
+        "(?:kill|murder|hurt|destroy|shoot|burn|poison|drown|hang|slaughter|execut|beat|choke|behead)(?:e|s|es|d|ed|en|ing)?"
+        "|(?:stab|slit|gut)(?:s|bed|ted|bing|ting)?|strangl(?:e|es|ed|ing)|shot|hung"
+    ),
+    "fr": (
+        "(?:tu|égorg|frapp|étrangl|poignard|assassin|brûl|noi|massacr)(?:e|es|er|ez|ons|ent|é|és|ée|ées|era|erai|erais|erez|eront|eras)"
+        "|abatt(?:re|rai|ra|u|us|ons|ez|ent)"
+    ),
+    "de": (
+        "(?:töt|ermord|erschieß|erwürg|erstech|verbrenn|verprügel|abstech|umbring|ersäuf|erschlag)(?:e|st|t|et|en|est|n)?"
+        "|(?:getötet|ermordet|erschossen|erwürgt|erstochen|umgebracht|erschlagen|umzubringen)"
+    ),
+    "es": (
+        "(?:mat|apuñal|golpe|quem|estrangul|dispar|asesin|ahog|degoll|degüell)(?:o|a|as|amos|an|ar|aré|arás|ará|arán|aremos|aría|ado|ada|ados|adas)"
+        "(?:te|lo|la|los|las|le|les)?"
+    ),
+}
+THREAT = re.compile("|".join(HARM.values()))
+# Fixed verbs that harm with a word some places later: the later word is the threat.
+PHRASES = (
+    (re.compile("bring(?:e|st|t|en)?"), {"um"}), (re.compile("schlag(?:e|t|en)|schläg(?:st|t)"), {"tot", "zusammen"}),
+    (re.compile("mach(?:e|st|t|en)?"), {"kalt", "fertig"}), (re.compile("beat(?:s|ing|en)?|blow(?:s|ing|n)?"), {"up"}),
+    (re.compile("break|breaks|smash|smashes|cut|cuts|rip|rips"), {"neck", "skull", "throat", "bones", "face", "off"}),
+)
 CLAUSE = re.compile(r"[.!?;:\n]+")
 TRIM = ".,;:!?|\"'()[]{}<>*#-_"
 
@@ -78,14 +103,30 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return Transducer(first.states * second.states, step)
 
 
+def phrase(first: int, reach: int) -> Transducer:
+    """Turns the symbol ``late<n>`` into a threat within ``reach`` words after ``early<n>``; passes others on."""
+
+    def step(state: int, symbol: str) -> Step:
+        if symbol == f"early{first}":
+            return reach, "other"
+        if symbol == f"late{first}":
+            return 0, "threat" if state else "other"
+        return max(0, state - 1), symbol
+
+    return Transducer(reach + 1, step)
+
+
 GRAMMAR = compose(
     compose(marks_after("target", "@", REACH), marks_after("negation", "~", REACH)),
     marks_after("report", '"', REACH * 3),
 )
 # Read from right to left: a threat usually comes before its target.
 AHEAD = marks_after("target", "@", REACH)
-SYMBOLS = ("other", "insult", *WORDS)
+SYMBOLS = ("other", "insult", "threat", *WORDS)
 FEATURES = 11
+# Where the weights start and what they are drawn to: a threat at a target counts without any example of one. The rest is learned.
+PRIOR = np.zeros(FEATURES)
+PRIOR[5] = 7.0
 
 
 def grammar_table() -> dict[tuple[int, str], Step]:
@@ -103,6 +144,28 @@ def grammar_table() -> dict[tuple[int, str], Step]:
 
 TABLE = grammar_table()
 FIXED = {w: symbol for symbol, words in WORDS.items() for w in words.split()}
+LATE = {w for _, words in PHRASES for w in words}
+PHRASED = [phrase(n, REACH) for n in range(len(PHRASES))]
+
+
+def symbol_of(word: str) -> str:
+    """The symbol of a lower-cased word without outer punctuation."""
+    return FIXED.get(word) or ("threat" if THREAT.fullmatch(word) else "other")
+
+
+def phrased(words: list[str], symbols: list[str]) -> list[str]:
+    """``symbols`` after the phrase transducers, each of which reads its own words in place of the others."""
+    out = list(symbols)
+    for n, ((first, last), machine) in enumerate(zip(PHRASES, PHRASED)):
+        if last.isdisjoint(words):
+            continue
+        state = 0
+        for i, word in enumerate(words):
+            read = f"late{n}" if word in last else f"early{n}" if first.fullmatch(word) else symbols[i]
+            state, found = machine.step(state, read)
+            if found == "threat":
+                out[i] = "threat"
+    return out
 
 
 def targets_ahead(symbols: list[str]) -> set[int]:
@@ -153,10 +216,13 @@ class Model:
             words = clause.split()
             size += len(words)
             found = {i: m for i, w in enumerate(words) if (m := self._match(w, without))}
-            if not found and not any(FIXED.get(w.strip(TRIM)) == "threat" for w in words):
+            bare = [w.strip(TRIM) for w in words]
+            symbols = ["insult" if i in found else symbol_of(w) for i, w in enumerate(bare)]
+            if not LATE.isdisjoint(bare):
+                symbols = phrased(bare, symbols)
+            if not found and "threat" not in symbols:
                 continue
             state, total = 0, 0.0
-            symbols = ["insult" if i in found else FIXED.get(w.strip(TRIM), "other") for i, w in enumerate(words)]
             ahead = targets_ahead(symbols) if "threat" in symbols else ()
             for i, symbol in enumerate(symbols):
                 piece, gain = found.get(i, (None, 1.0))
@@ -205,15 +271,15 @@ def pruned(counts: list[tuple[str, int, int]], toxic: int, other: int, most: int
     return kept
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 60) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the first column is the intercept and is not shrunk."""
-    w = np.zeros(x.shape[1])
+def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 1.0, rounds: int = 60) -> np.ndarray:
+    """Logistic regression by Newton steps, drawn to ``prior``; the first column is the intercept and is not."""
+    w = prior.copy()
     shrink = np.full(len(w), ridge)
     shrink[0] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve(
-            (x * (p * (1 - p))[:, None]).T @ x + np.diag(shrink + 1e-9), x.T @ (y - p) - shrink * w
+            (x * (p * (1 - p))[:, None]).T @ x + np.diag(shrink + 1e-9), x.T @ (y - p) - shrink * (w - prior)
         )
         w += step
         if np.abs(step).max() < 1e-9:
@@ -262,7 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 
     schema = ", ".join(f"f{i} double" for i in range(FEATURES)) + ", y int"
     table = map_columns(sample, measure, schema).orderBy(*(f"f{i}" for i in range(FEATURES)), "y").toPandas().to_numpy(float)
-    model.weights = logistic(table[:, :FEATURES], table[:, FEATURES]).tolist()
+    model.weights = logistic(table[:, :FEATURES], table[:, FEATURES], PRIOR).tolist()
     return model
 
 

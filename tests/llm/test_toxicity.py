@@ -1,6 +1,8 @@
 """Toxicity: the composed grammar, the fit on planted words, and held-out accuracy."""
 
+import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -107,3 +109,63 @@ def test_query_on_given_tables(spark, sf):
     assert len(rows) == 200 and all((r.score >= 0.7) == bool(r.predicted) for r in rows)
     held = [(r.score >= 0.5, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     assert sum(a == b for a, b in held) >= 0.85 * len(held)
+
+
+THREATS = [
+    "I will kill you", "Ich bringe dich um", "you will be murdered", "slit your throat", "je vais te tuer", "te voy a matar",
+    "ich werde dich töten", "he is going to beat you up", "they will strangle her", "wir schlagen dich zusammen", "I break your neck",
+]
+HARMLESS = [
+    "kill the process", "he never killed anyone", "she said they kill him", "das Programm bringt Gewinn", "the bank beat all forecasts",
+    "ich bringe das Buch", "cut the bread", "no one will hurt you", "bring up the file",
+]
+
+
+def test_threats_alone_reach_the_verdict(spark, sf):
+    """Threats at a target count by their prior; without one, negated or reported they do not."""
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    model = tox.fit(docs, labels)
+    assert {t: model.score(t) >= 0.7 for t in THREATS} == dict.fromkeys(THREATS, True)
+    assert {t: model.score(t) >= 0.7 for t in HARMLESS} == dict.fromkeys(HARMLESS, False)
+
+
+def test_score_equals_direct_computation(spark, sf):
+    """The score of each given text, taken anew from the lexicon, the rules and the weights."""
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    model = tox.fit(docs, labels)
+
+    def plain(text):
+        sums, most, matched, size = dict.fromkeys(("i", "i@", "i~", 'i"', "t", "t~", 't"'), 0.0), 0.0, set(), 0
+        for clause in re.split(r"[.!?;:\n]+", (text or "").lower()):
+            words = clause.split()
+            size += len(words)
+            bare = [w.strip(tox.TRIM) for w in words]
+            entry = {}
+            for i, w in enumerate(bare):
+                own = [p for p in model.lexicon if p == w or (p[-1] == "*" and len(w) > len(p) - 1 and w.startswith(p[:-1]))]
+                if own and (gain := max(model.weight(p) for p in own)) > 0:
+                    entry[i] = gain, max(own, key=model.weight)
+            kind = ["insult" if i in entry else tox.symbol_of(w) for i, w in enumerate(bare)]
+            for first, last in tox.PHRASES:
+                for i, w in enumerate(bare):
+                    early = [k for k in range(max(0, i - tox.REACH), i) if first.fullmatch(bare[k]) and not any(x in last for x in bare[k + 1 : i])]
+                    if w in last and early:
+                        kind[i] = "threat"
+            total = 0.0
+            for i, marks in enumerate(plain_marks(kind)):
+                if kind[i] == "insult":
+                    gain, piece = entry[i]
+                    matched.add(piece)
+                    sums["i" + ('"' if '"' in marks else "~" if "~" in marks else "@" if "@" in marks else "")] += gain
+                    total += gain
+                elif kind[i] == "threat" and ("@" in marks or "target" in kind[i + 1 : i + 1 + tox.REACH]):
+                    sums["t" + ('"' if '"' in marks else "~" if "~" in marks else "")] += 1
+                    total += 1
+            most = max(most, total)
+        x = [1.0, *(math.log1p(v) for v in sums.values()), math.log1p(most), math.log1p(len(matched))]
+        x.append(math.log1p(100 * sum(sums.values()) / max(size, 1)))
+        return 1 / (1 + math.exp(-sum(w * v for w, v in zip(model.weights, x))))
+
+    texts = [r.text for r in docs.collect()] + THREATS + HARMLESS + [None, ""]
+    for text in texts:
+        assert abs(model.score(text) - plain(text)) < 1e-9, text
