@@ -39,26 +39,30 @@ WORDS = {
         "sagte schrieb behauptete dijo escribió afirmó"
     ),
 }
-# Fixed stems of verbs of harm and their endings, by language: a word that matches is the symbol "threat".
+# Fixed stems of verbs of harm and their endings, by language: each stem with each ending is the symbol "threat".
 HARM = {
-    "en": (
-        "(?:kill|murder|hurt|destroy|shoot|burn|poison|drown|hang|slaughter|execut|beat|choke|behead)(?:e|s|es|d|ed|en|ing)?"
-        "|(?:stab|slit|gut)(?:s|bed|ted|bing|ting)?|strangl(?:e|es|ed|ing)|shot|hung"
-    ),
-    "fr": (
-        "(?:tu|égorg|frapp|étrangl|poignard|assassin|brûl|noi|massacr)(?:e|es|er|ez|ons|ent|é|és|ée|ées|era|erai|erais|erez|eront|eras)"
-        "|abatt(?:re|rai|ra|u|us|ons|ez|ent)"
-    ),
-    "de": (
-        "(?:töt|ermord|erschieß|erwürg|erstech|verbrenn|verprügel|abstech|umbring|ersäuf|erschlag)(?:e|st|t|et|en|est|n)?"
-        "|(?:getötet|ermordet|erschossen|erwürgt|erstochen|umgebracht|erschlagen|umzubringen)"
-    ),
-    "es": (
-        "(?:mat|apuñal|golpe|quem|estrangul|dispar|asesin|ahog|degoll|degüell)(?:o|a|as|amos|an|ar|aré|arás|ará|arán|aremos|aría|ado|ada|ados|adas)"
-        "(?:te|lo|la|los|las|le|les)?"
-    ),
+    "en": [
+        ("kill murder hurt destroy shoot burn poison drown hang slaughter execut beat chok behead", " e s es d ed en ing"),
+        ("stab slit gut", " s bed ted bing ting"), ("strangl", "e es ed ing"), ("shot hung", ""),
+    ],
+    "fr": [
+        ("tu égorg frapp étrangl poignard assassin brûl noi massacr", "e es er ez ons ent é és ée ées era erai erais erez eront eras"),
+        ("abatt", "re rai ra u us ons ez ent"),
+    ],
+    "de": [
+        ("töt ermord erschieß erwürg erstech verbrenn verprügel abstech umbring ersäuf erschlag", " e st t et en est n"),
+        ("getötet ermordet erschossen erwürgt erstochen umgebracht erschlagen umzubringen", ""),
+    ],
+    "es": [
+        (
+            "mat apuñal golpe quem estrangul dispar asesin ahog degoll degüell",
+            "o a as amos an ar arte arlo arla aré arás ará arán aremos aría ado ada ados adas",
+        ),
+    ],
+}
+THREATS = {
+    stem + ending for pairs in HARM.values() for stems, endings in pairs for stem in stems.split() for ending in endings.split(" ")
 }
-THREAT = re.compile("|".join(HARM.values()))
 # Fixed verbs that harm with a word some places later: the later word is the threat.
 PHRASES = (
     (re.compile("bring(?:e|st|t|en)?"), {"um"}), (re.compile("schlag(?:e|t|en)|schläg(?:st|t)"), {"tot", "zusammen"}),
@@ -143,14 +147,14 @@ def grammar_table() -> dict[tuple[int, str], Step]:
 
 
 TABLE = grammar_table()
-FIXED = {w: symbol for symbol, words in WORDS.items() for w in words.split()}
+FIXED = dict.fromkeys(THREATS, "threat") | {w: symbol for symbol, words in WORDS.items() for w in words.split()}
 LATE = {w for _, words in PHRASES for w in words}
 PHRASED = [phrase(n, REACH) for n in range(len(PHRASES))]
 
 
 def symbol_of(word: str) -> str:
     """The symbol of a lower-cased word without outer punctuation."""
-    return FIXED.get(word) or ("threat" if THREAT.fullmatch(word) else "other")
+    return FIXED.get(word, "other")
 
 
 def phrased(words: list[str], symbols: list[str]) -> list[str]:
@@ -217,8 +221,11 @@ class Model:
             size += len(words)
             found = {i: m for i, w in enumerate(words) if (m := self._match(w, without))}
             bare = [w.strip(TRIM) for w in words]
+            late = not LATE.isdisjoint(bare)
+            if not found and not late and THREATS.isdisjoint(bare):
+                continue
             symbols = ["insult" if i in found else symbol_of(w) for i, w in enumerate(bare)]
-            if not LATE.isdisjoint(bare):
+            if late:
                 symbols = phrased(bare, symbols)
             if not found and "threat" not in symbols:
                 continue
