@@ -40,8 +40,8 @@ class Layout:
             return [f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"]
         return [self.turn, self.role, self.text] if self.turn else [f for _, f in self.parts]
 
-    def fingerprint(self) -> str:
-        return fingerprint(self.paths())
+    def path_hashes(self) -> list[str]:
+        return [path_hash(p) for p in self.paths()]
 
     def ddl(self) -> str:
         """Schema that ``from_json`` reads the record with."""
@@ -91,75 +91,95 @@ def schema_paths(kind: T.DataType, before: str = "") -> list[str]:
     return [before]
 
 
-def nested(paths: list[str]) -> str:
-    """Field paths as one text: names in order, ``{}`` around the fields of an object, ``[]`` of a list."""
-    heads: dict[str, list[str]] = {}
-    for path in paths:
-        head, _, rest = path.partition(".")
-        heads.setdefault(head, []).extend([rest] if rest else [])
-    out = []
-    for head in sorted(heads):
-        name, lists = head.rstrip("[]"), head.count("[]")
-        inner = nested(heads[head]) if heads[head] else ""
-        out.append(name + (":" + "[" * lists + inner + "]" * lists if lists or inner else ""))
-    return "{" + ",".join(out) + "}"
+def path_hash(path: str) -> str:
+    return hashlib.md5(path.encode()).hexdigest()
 
 
-def fingerprint(paths: list[str]) -> str:
-    """Hash of nested field paths, the same in any order."""
-    return hashlib.md5(nested(paths).replace("]", ">").replace("}", ">").encode()).hexdigest()
+def chosen(layouts: tuple[Layout, ...]) -> list[Layout]:
+    """The order in which layouts are tried: most declared paths first, then as they are listed."""
+    return sorted(layouts, key=lambda known: -len(known.paths()))
 
 
-def record_shape(record: Column) -> Column:
-    """The field paths of a JSON text as ``nested`` writes them; null for a text that is not JSON.
+# Levels of objects and lists that a record's field paths are followed to; what lies deeper is its parent's path.
+DEPTH = 4
+
+
+def _paths(value: Column, before: Column, depth: int) -> Column:
+    """Field paths of a variant as an array: fields of an object, ``[]`` for the elements of a list, ``[0]`` for an empty one."""
+    here = F.array(before)
+    if not depth:
+        return here
+    fields = F.try_variant_get(value, "$", "map<string,variant>")
+    items = F.try_variant_get(value, "$", "array<variant>")
+    below = F.flatten(
+        F.transform(
+            F.map_entries(fields),
+            lambda e: _paths(e["value"], F.when(before == "", e["key"]).otherwise(F.concat(before, F.lit("."), e["key"])), depth - 1),
+        )
+    )
+    inside = F.flatten(F.transform(items, lambda x: _paths(x, F.concat(before, F.lit("[]")), depth - 1)))
+    kind = F.schema_of_variant(value)
+    return (
+        F.when(kind.startswith("OBJECT<"), below)
+        .when(F.size(items) == 0, F.array(F.concat(before, F.lit("[0]"))))
+        .when(kind.startswith("ARRAY<"), F.array_distinct(inside))
+        .otherwise(here)
+    )
+
+
+def record_paths(record: Column) -> Column:
+    """The nested field paths of a JSON text in order; null for a text that is not JSON.
 
     The fields of a list are those of all its elements.
     """
-    shape = F.schema_of_variant(F.try_parse_json(record))
-    for pattern, other in (
-        (r"(: |<)(?!OBJECT<|ARRAY<)[A-Z]+(\([0-9,]+\))?(?=[,>])", "$1"), (": (?=[,>])", ""),
-        ("OBJECT<", "{"), ("ARRAY<", "["), (": ", ":"), (", ", ","),
-    ):
-        shape = F.regexp_replace(shape, pattern, other)
-    # Closing brackets follow from the opening ones, so one sign does for both.
-    return F.translate(shape, "]}", ">>")
+    return F.array_sort(F.array_distinct(_paths(F.try_parse_json(record), F.lit(""), DEPTH)))
 
 
 def turns_of_records(records: DataFrame, id_column: str, record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """``(conv_id, layout, turns)`` for each row of JSON texts in the column ``record``.
+    """``(conv_id, layout, paths, turns)`` for each row of JSON texts in the column ``record``.
 
-    The hash of a record's field paths selects the layout. Records of no known layout, null and
-    broken ones keep their row with null ``layout`` and null ``turns``.
+    The hashes of a record's field paths select the layout: of those whose declared paths it all has the one that
+    declares most, of equals the one listed first. Other fields don't matter. A list without elements has the
+    paths of the layouts that name it, and no turns. Records of no known layout keep their row with null ``layout``
+    and null ``turns``, null and broken ones with null ``paths`` too; ``rejects`` counts them.
     """
-    hashed = F.md5(record_shape(F.col(record)))
+    rows = records.select(F.col(id_column).alias("conv_id"), F.col(record).alias("_record"), record_paths(F.col(record)).alias("paths"))
+    rows = rows.withColumn("_hashes", F.transform("paths", F.md5))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(f"array<{TURN}>")
-    for known in layouts:
+    for known in reversed(chosen(layouts)):
         if known.turn:
             continue
-        own = F.col("_hash") == known.fingerprint()
+        own = F.size(F.array_except(F.array(*map(F.lit, known.path_hashes())), "_hashes")) == 0
+        if known.items:
+            own = own | F.array_contains("_hashes", path_hash(f"{known.items}[0]"))
         layout = F.when(own, known.name).otherwise(layout)
         turns = F.when(own, known.turns(F.from_json(F.col("_record"), known.ddl()))).otherwise(turns)
-    rows = records.select(F.col(id_column).alias("conv_id"), F.col(record).alias("_record"), hashed.alias("_hash"))
-    return rows.select("conv_id", layout.alias("layout"), turns.alias("turns"))
+    return rows.select("conv_id", layout.alias("layout"), "paths", turns.alias("turns"))
+
+
+def rejects(chats: DataFrame) -> DataFrame:
+    """``(paths, n)``: how many rows of ``turns_of_records`` have no layout, by their field paths; null for what is not JSON."""
+    return chats.where(F.col("layout").isNull()).groupBy("paths").agg(F.count("*").alias("n"))
 
 
 def turn_rows(chats: DataFrame) -> DataFrame:
-    """``(conv_id, turn, role, text)`` rows of ``(conv_id, turns)``."""
+    """``(conv_id, turn, role, text)`` rows of ``(conv_id, turns)``; chats without turns give none, see ``rejects``."""
     return chats.select("conv_id", F.posexplode("turns").alias("turn", "one")).select(
         "conv_id", F.col("turn").cast("long").alias("turn"), "one.role", "one.text"
     )
 
 
 def rows_of_table(table: DataFrame, id_column: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """``(conv_id, turn, role, text)`` rows of a table whose columns besides ``id_column`` are one known layout.
+    """``(conv_id, turn, role, text)`` rows of a table whose columns besides ``id_column`` hold a known layout.
 
-    The hash of the schema's field paths selects the layout; a table of no known layout is refused.
+    The hashes of the schema's field paths select the layout as those of a record do; columns that it does not declare
+    are left out, a table of no known layout is refused.
     """
     rest = [c for c in table.columns if c != id_column]
-    paths = schema_paths(table.select(*rest).schema)
-    own = fingerprint(paths)
-    for known in layouts:
-        if known.fingerprint() != own:
+    paths = schema_paths(table.select(*(f"`{c}`" for c in rest)).schema)
+    own = set(map(path_hash, paths))
+    for known in chosen(layouts):
+        if not own.issuperset(known.path_hashes()):
             continue
         if known.turn:
             return table.select(
@@ -242,7 +262,8 @@ PROBE = "\\### Assistant: </turn> ok"
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
+    sides = F.array(*(F.struct(F.lit(role).alias("role"), F.lit(PROBE).alias("text")) for role in ("user", "assistant")))
+    probe = turn_rows(spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), sides.alias("turns")))
     chats = format_chats(rows_of_table(rows.unionByName(probe), "conv_id"))
     turns = chats.select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"), masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

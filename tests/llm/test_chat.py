@@ -68,8 +68,42 @@ def test_table_layouts(spark):
     assert [tuple(r) for r in rows] == [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
     flat = spark.createDataFrame([(1, "q", "a")], "k int, prompt string, response string")
     assert [tuple(r) for r in chat.rows_of_table(flat, "k").collect()] == [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
+    wider = flat.select("*", F.lit(1).alias("more"), F.array(F.struct(F.lit("x").alias("y"))).alias("a.b"))
+    assert [tuple(r) for r in chat.rows_of_table(wider, "k").collect()] == [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
     with pytest.raises(ValueError, match="no layout"):
-        chat.rows_of_table(flat.withColumn("more", F.lit(1)), "k")
+        chat.rows_of_table(flat.select("k", "prompt", F.lit("a").alias("reply")), "k")
+
+
+WIDER = [
+    ("messages", {"id": 7, "messages": [{"role": "user", "content": "q", "name": "n"}, {"role": "gpt", "content": "a"}]}, [("user", "q"), ("assistant", "a")]),
+    ("messages", {"messages": []}, []),
+    ("messages", {"messages": [], "id": 1, "tools": []}, []),
+    ("messages", {"messages": [{"role": "user", "content": "q"}], "meta": {"a": [{"b": {"c": {"d": {"e": 1}}}}]}}, [("user", "q")]),
+    ("messages", {"messages": [{"role": "user"}, {"content": None}]}, [("user", None), (None, None)]),
+    ("messages", {"messages": [{"role": "user", "content": "q"}], "prompt": "p", "response": "r"}, [("user", "q")]),
+    ("instruction_input", {"instruction": "q", "input": "i", "output": "a", "weight": 0.5}, [("user", "q"), ("user", "i"), ("assistant", "a")]),
+    ("system_prompt_response", {"system": "s", "prompt": "q", "response": "a", "é.x": 1}, [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    (None, {"messages": [{"role": "user", "content": [{"type": "text"}]}]}, None),
+    (None, {"messages": ["a"]}, None),
+    (None, {"prompt": "p", "messages": {"role": "user", "content": "q"}}, None),
+    (None, {"prompt": "p", "reply": "q"}, None),
+    (None, {"reply": "r", "prompt": "p"}, None),
+]
+
+
+def test_records_with_other_fields_keep_their_layout_and_the_rest_is_counted(spark):
+    rows = [(i, json.dumps(r)) for i, (_, r, _) in enumerate(WIDER)] + [(100, "{"), (101, None), (102, "{}"), (103, "[]")]
+    out = chat.turns_of_records(spark.createDataFrame(rows, "k long, record string"), "k", "record")
+    found = {r.conv_id: r for r in out.collect()}
+    assert len(found) == len(rows)
+    for i, (name, _, turns) in enumerate(WIDER):
+        assert found[i].layout == name, WIDER[i]
+        assert (found[i].turns and [tuple(t) for t in found[i].turns]) == turns
+    assert found[0].paths == ["id", "messages[].content", "messages[].name", "messages[].role"]
+    counted = {None if r.paths is None else tuple(r.paths): r.n for r in chat.rejects(out).collect()}
+    assert counted[None] == 2 and counted[()] == 1 and counted["prompt", "reply"] == 2 and counted[("messages[]",)] == 1
+    assert sum(counted.values()) == sum(name is None for name, _, _ in WIDER) + 4
+    assert chat.rejects(out.where("false")).collect() == []
 
 
 def test_no_python_in_the_plan(spark, sf):
