@@ -132,7 +132,8 @@ def record_paths(record: Column) -> Column:
 
     The fields of a list are those of all its elements.
     """
-    return F.array_sort(F.array_distinct(_paths(F.try_parse_json(record), F.lit(""), DEPTH)))
+    value = F.try_parse_json(record)
+    return F.when(value.isNotNull(), F.array_sort(F.array_distinct(_paths(value, F.lit(""), DEPTH))))
 
 
 def turns_of_records(records: DataFrame, id_column: str, record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
