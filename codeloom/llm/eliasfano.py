@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import mmap
 import struct
-import tempfile
 
 import numpy as np
 
@@ -22,6 +21,12 @@ def _packed(values: np.ndarray, width: int) -> bytes:
     return np.packbits(bits.ravel(), bitorder="little").tobytes()
 
 
+def narrow(numbers: np.ndarray) -> np.ndarray:
+    """Unsigned numbers in the least bytes that hold the largest."""
+    top = int(np.max(numbers, initial=0))
+    return np.asarray(numbers, next(f"<u{w}" for w in (1, 2, 4, 8) if top < 1 << (8 * w)))
+
+
 class EliasFano:
     """A non-decreasing sequence of unsigned 64-bit numbers: low bits as they are, high bits in unary."""
 
@@ -94,31 +99,30 @@ class Trie:
 
     Level 1 is the sequence of context hashes; monotone pointers say where a context's successors begin;
     level 2 holds ``context number << 40 | successor hash``, which is monotone as a whole. Each level has a
-    payload array: 32-bit counts, or 8-bit codes.
+    payload array, counts or codes, as wide as its largest number.
     """
 
     def __init__(self, data):
-        self.contexts = EliasFano(data, 1)
+        self.contexts = EliasFano(data, 2)
         self.pointers = EliasFano(data, self.contexts.end)
         self.successors = EliasFano(data, self.pointers.end)
-        wide = "<u4" if data[0] else "<u1"
         at = self.successors.end
-        self.context_payload = np.frombuffer(data, "<u4", self.contexts.size, at)
-        self.payload = np.frombuffer(data, wide, self.successors.size, at + 4 * self.contexts.size)
+        self.context_payload = np.frombuffer(data, f"<u{data[0]}", self.contexts.size, at)
+        self.payload = np.frombuffer(data, f"<u{data[1]}", self.successors.size, at + data[0] * self.contexts.size)
 
     @staticmethod
     def encode(contexts, counts, owner, successor, payload) -> bytes:
         """From sorted distinct ``contexts``, and pairs sorted by ``(owner, successor)``."""
-        wide = payload.dtype != np.uint8
+        counts, payload = narrow(counts), narrow(payload)
         starts = np.searchsorted(owner, np.arange(len(contexts) + 1))
         return b"".join(
             (
-                bytes([wide]),
+                bytes([counts.itemsize, payload.itemsize]),
                 EliasFano.encode(contexts),
                 EliasFano.encode(starts),
                 EliasFano.encode((owner.astype(np.uint64) << np.uint64(LOW)) | successor),
-                np.asarray(counts, "<u4").tobytes(),
-                np.asarray(payload, "<u4" if wide else "<u1").tobytes(),
+                counts.tobytes(),
+                payload.tobytes(),
             )
         )
 
@@ -152,8 +156,7 @@ class Trie:
 
 
 def mapped(data: bytes):
-    """``data`` as a memory map of an unnamed file, which goes with the map."""
-    with tempfile.TemporaryFile() as file:
-        file.write(data)
-        file.flush()
-        return mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+    """``data`` in a memory map without a file, so no folder of the machine is used and the pages go with the map."""
+    pages = mmap.mmap(-1, max(len(data), 1))
+    pages.write(data)
+    return pages

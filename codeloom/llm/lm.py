@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeloom.llm.common import documents, hits_remainder, map_columns, split_words, written
-from codeloom.llm.eliasfano import LOW, Trie, mapped
+from codeloom.llm.eliasfano import LOW, Trie, mapped, narrow
 
 FOLDS, HELD_FOLD = 5, 1
 # Tokens that one block of documents and one shard of the model hold on average.
 BLOCK_TOKENS = 1_000_000
+# Others that a block, a node between or a shard hears from and sends to, at most.
+FAN = 256
+# Contexts that may be spread over shards are more frequent than one in so many tokens, so they are fewer.
+HOT = 65_536
 # Weight of the lower order, in tokens.
 PRIOR = 200.0
 # Quantised log10 probabilities: code 1 to 255 stand for so much each, code 0 for none.
@@ -61,6 +66,17 @@ def unigrams(docs: DataFrame) -> DataFrame:
     return map_columns(docs.select("text", "train"), batch, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+@dataclass
+class Demand:
+    """Contexts in order of hash with their counts, and pairs in order of context number and successor with theirs."""
+
+    contexts: np.ndarray
+    counts: np.ndarray
+    owner: np.ndarray
+    successor: np.ndarray
+    n: np.ndarray
+
+
 class Block:
     """The distinct words and word pairs of some texts, and where they stand."""
 
@@ -89,38 +105,157 @@ class Block:
         self.pairs, self.pair_of = np.unique(pair, return_inverse=True)
         self.left, self.right = self.pairs >> 32, self.pairs & 0xFFFFFFFF
         self.text_of = np.repeat(np.arange(len(sizes)), self.sizes)
+        # Places of words and pairs in a demand.
+        self.by_hash = np.argsort(self.words, kind="stable")
+        rank = np.empty_like(self.by_hash)
+        rank[self.by_hash] = np.arange(len(self.by_hash))
+        self.pair_order = np.lexsort((self.words[self.right] & MASK, rank[self.left]))
+        self.owner = rank[self.left][self.pair_order]
+
+    def demand(self, words: np.ndarray | None = None, pairs: np.ndarray | None = None) -> Demand:
+        """What the block asks for, with its own counts of ``words`` and ``pairs`` where they are given."""
+        counts = np.zeros(len(self.words), np.int64) if words is None else words
+        n = np.zeros(len(self.pairs), np.int64) if pairs is None else pairs
+        successor = self.words[self.right[self.pair_order]] & MASK
+        return Demand(self.words[self.by_hash], counts[self.by_hash], self.owner, successor, n[self.pair_order])
+
+
+@dataclass
+class Part:
+    """What of a demand goes to one node: places of contexts, which of them are counted there, places of pairs, and
+    their contexts' places among the part's."""
+
+    node: int
+    contexts: np.ndarray
+    at_home: np.ndarray
+    pairs: np.ndarray
+    owner: np.ndarray
+
+
+@dataclass(frozen=True)
+class Route:
+    """How demands get from blocks to shards: in ``levels`` steps, each of which settles one digit of the shard.
+
+    The node of level j has the first j digits of a shard and the last ``levels - j`` of a block, so
+    it hears from at most ``fan`` nodes, whose demands it adds up, and sends to at most ``fan``. Level 0 are the blocks, the last
+    level are the shards. Pairs lie with their context, those of a ``hot`` one all over.
+    """
 
-    def shards(self, count: int, hot: set[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Shard of each word and each pair. Pairs lie with their context, those of a hot one all over."""
-        home = (self.words % np.uint64(count)).astype(np.int64)
-        of_pair = home[self.left]
-        frequent = np.array([h in hot for h in self.words.tolist()], bool)[self.left]
-        spread = (self.words[self.right] >> np.uint64(LOW)) % np.uint64(count)
-        return home, np.where(frequent, (of_pair + spread.astype(np.int64)) % count, of_pair)
-
-    def parts(self, count: int, hot: set[int]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """By shard: numbers of the words asked for in order of hash, the same as a table of contexts, and the
-        numbers of the pairs in order of context and successor, with their context's place."""
-        home, of_pair = self.shards(count, hot)
-        out = {}
-        by_hash = np.argsort(self.words, kind="stable")
-        pair_order = np.lexsort((self.words[self.right] & MASK, self.words[self.left], of_pair))
-        edges = np.searchsorted(of_pair[pair_order], np.arange(count + 1))
-        for shard in range(count):
-            pairs = pair_order[edges[shard] : edges[shard + 1]]
-            own = home[by_hash] == shard
-            if len(pairs):
-                needed = np.zeros(len(self.words), bool)
-                needed[self.left[pairs]] = True
-                own |= needed[by_hash]
-            contexts = by_hash[own]
-            if len(contexts):
-                place = np.searchsorted(self.words[contexts], self.words[self.left[pairs]])
-                out[shard] = (contexts, home[contexts] == shard, pairs, place)
+    shards: int
+    fan: int
+    levels: int
+    hot: np.ndarray
+    totals: np.ndarray
+
+    @staticmethod
+    def through(shards: int, fan: int, hot: dict[int, int]) -> Route:
+        levels = 1
+        while fan**levels < shards:
+            levels += 1
+        width = 1
+        while width**levels < shards:
+            width += 1
+        names = np.array(sorted(hot), np.uint64)
+        return Route(shards, width, levels, names, np.array([hot[h] for h in sorted(hot)], np.int64))
+
+    def frequent(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which contexts are hot, and the whole counts of those that are."""
+        if not len(self.hot):
+            return np.zeros(len(contexts), bool), np.zeros(len(contexts), np.int64)
+        place = np.minimum(np.searchsorted(self.hot, contexts), len(self.hot) - 1)
+        among = self.hot[place] == contexts
+        return among, np.where(among, self.totals[place], 0)
+
+    def parts(self, level: int, node: int, asked: Demand) -> list[Part]:
+        here, below = self.fan ** (self.levels - level), self.fan ** (self.levels - level - 1)
+        home = (asked.contexts % np.uint64(self.shards)).astype(np.int64)
+        spread = ((asked.successor * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)) % np.uint64(self.shards)
+        moved = np.where(self.frequent(asked.contexts)[0][asked.owner], spread.astype(np.int64), 0)
+        of_pair = (home[asked.owner] + moved) % self.shards // below
+        # Contexts of another digit so far are here only for pairs.
+        own = np.flatnonzero(home // here == node // here)
+        size = max(len(asked.contexts), 1)
+        wanted = np.unique(np.concatenate((home[own] // below * size + own, of_pair * size + asked.owner)))
+        group, context = wanted // size, wanted % size
+        order = np.argsort(of_pair, kind="stable")
+        place = np.searchsorted(wanted, of_pair[order] * size + asked.owner[order])
+        digits, first = np.unique(group, return_index=True)
+        last = np.append(first[1:], len(group))
+        edges = np.searchsorted(of_pair[order], np.append(digits, digits[-1:] + 1))
+        out = []
+        for i, digit in enumerate(digits.tolist()):
+            contexts, pairs = context[first[i] : last[i]], slice(edges[i], np.searchsorted(of_pair[order], digit, "right"))
+            to = digit * below + node % here % below
+            out.append(Part(to, contexts, home[contexts] // below == digit, order[pairs], place[pairs] - first[i]))
         return out
 
+    def sent(self, level: int, node: int, asked: Demand) -> pa.Table:
+        """Rows ``(node, source, asked)`` of the next level."""
+        parts = self.parts(level, node, asked)
+        tries = [
+            Trie.encode(asked.contexts[p.contexts], np.where(p.at_home, asked.counts[p.contexts], 0), p.owner, asked.successor[p.pairs], asked.n[p.pairs])
+            for p in parts
+        ]
+        return pa.table(
+            {
+                "node": pa.array([p.node for p in parts], pa.int64()),
+                "source": pa.array([node] * len(parts), pa.int64()),
+                "asked": pa.array(tries, pa.binary()),
+            }
+        )
+
+    def gathered(self, level: int, node: int, asked: Demand, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of all contexts and codes of all pairs of a demand, from what the nodes of the next level answered."""
+        counts, codes = np.zeros(len(asked.contexts), np.int64), np.zeros(len(asked.owner), np.uint8)
+        found = {s: (c, q) for s, c, q in zip(*(answers.column(n).to_pylist() for n in ("source", "counts", "codes")))}
+        for part in self.parts(level, node, asked):
+            c, q = found[part.node]
+            n = np.frombuffer(c, f"<u{len(c) // max(len(part.contexts), 1) or 1}")
+            counts[part.contexts[part.at_home]] = n[part.at_home]
+            codes[part.pairs] = np.frombuffer(q, "<u1")
+        return counts, codes
+
+
+SENT = "node long, source long, asked binary"
+ANSWERED = "node long, source long, counts binary, codes binary"
+
+
+def _answer_rows(node: int, table: pa.Table, counts: list[np.ndarray], codes: list[np.ndarray]) -> pa.Table:
+    """Answers of ``node`` to each row of ``table(source)``: they go where the demands came from."""
+    return pa.table(
+        {
+            "node": table.column("source"),
+            "source": pa.array([node] * table.num_rows, pa.int64()),
+            "counts": pa.array([narrow(c).tobytes() for c in counts], pa.binary()),
+            "codes": pa.array([c.astype(np.uint8).tobytes() for c in codes], pa.binary()),
+        }
+    )
+
 
-def _requests(shards: int, hot: frozenset[int]):
+def added_up(tries: list[Trie]) -> tuple[Demand, list[np.ndarray], list[np.ndarray]]:
+    """One demand from several, and for each where its contexts and its pairs are in the sum."""
+    contexts, inverse = np.unique(np.concatenate([t.contexts.all() for t in tries]), return_inverse=True)
+    counts = np.zeros(len(contexts), np.int64)
+    np.add.at(counts, inverse, np.concatenate([t.context_payload for t in tries]).astype(np.int64))
+    edges = np.cumsum([0, *(t.contexts.size for t in tries)])
+    of_context = [inverse[a:b] for a, b in zip(edges[:-1], edges[1:])]
+    keys = []
+    for t, places in zip(tries, of_context):
+        own, rest = t.pairs()
+        keys.append((places[own].astype(np.uint64) << np.uint64(LOW)) | rest)
+    key, place = np.unique(np.concatenate(keys), return_inverse=True)
+    n = np.zeros(len(key), np.int64)
+    np.add.at(n, place, np.concatenate([t.payload for t in tries]).astype(np.int64))
+    edges = np.cumsum([0, *map(len, keys)])
+    of_pair = [place[a:b] for a, b in zip(edges[:-1], edges[1:])]
+    return Demand(contexts, counts, (key >> np.uint64(LOW)).astype(np.int64), key & MASK, n), of_context, of_pair
+
+
+def _tries(table: pa.Table) -> list[Trie]:
+    return [Trie(x) for x in table.column("asked").to_pylist()]
+
+
+def _requests(route: Route):
     def run(table: pa.Table) -> pa.Table:
         block = Block(table.column("text").to_pylist())
         train = np.array(table.column("train").to_pylist(), bool)
@@ -128,81 +263,60 @@ def _requests(shards: int, hot: frozenset[int]):
         words = np.bincount(block.tokens[learns], minlength=len(block.words))
         words[0] = train.sum()
         pairs = np.bincount(block.pair_of[learns], minlength=len(block.pairs))
-        number = table.column("block")[0].as_py()
-        rows = []
-        for shard, (contexts, at_home, own, place) in block.parts(shards, hot).items():
-            counts = np.where(at_home, words[contexts], 0)
-            successor = block.words[block.right[own]] & MASK
-            rows.append((number, shard, Trie.encode(block.words[contexts], counts, place, successor, pairs[own])))
-        return pa.table(
-            {
-                "block": pa.array([r[0] for r in rows], pa.int32()),
-                "shard": pa.array([r[1] for r in rows], pa.int32()),
-                "asked": pa.array([r[2] for r in rows], pa.binary()),
-            }
-        )
+        return route.sent(0, table.column("block")[0].as_py(), block.demand(words, pairs))
 
     return run
 
 
-def build(tries: list[Trie], totals: dict[int, int]) -> bytes:
-    """One trie of the model from the counts of all blocks; ``totals`` are those of hot contexts."""
-    contexts, inverse = np.unique(np.concatenate([t.contexts.all() for t in tries]), return_inverse=True)
-    counts = np.zeros(len(contexts), np.int64)
-    np.add.at(counts, inverse, np.concatenate([t.context_payload for t in tries]).astype(np.int64))
-    owner, successor, n, at = [], [], [], 0
-    for t in tries:
-        own, rest = t.pairs()
-        used = np.flatnonzero(t.payload)
-        owner.append(inverse[at : at + t.contexts.size][own[used]])
-        successor.append(rest[used])
-        n.append(t.payload[used].astype(np.int64))
-        at += t.contexts.size
-    owner, successor, n = np.concatenate(owner), np.concatenate(successor), np.concatenate(n)
-    key, place = np.unique((owner.astype(np.uint64) << np.uint64(LOW)) | successor, return_inverse=True)
-    total = np.zeros(len(key), np.int64)
-    np.add.at(total, place, n)
-    owner, successor = (key >> np.uint64(LOW)).astype(np.int64), key & MASK
-    whole = np.array([totals.get(c, 0) for c in contexts.tolist()], np.int64)
-    whole = np.where(whole > 0, whole, counts)
-    share = coded(np.log10(total) - np.log10(whole[owner] + PRIOR)) if len(key) else np.empty(0, np.uint8)
-    return Trie.encode(contexts, counts, owner, successor, share)
-
-
-def _answers(totals: dict[int, int]):
+def _passed_on(route: Route, level: int):
     def run(table: pa.Table) -> pa.Table:
-        asked = [Trie(x) for x in table.column("asked").to_pylist()]
-        model = Trie(mapped(build(asked, totals)))
-        counts, codes = [], []
-        for t in asked:
-            wanted = model.find_contexts(t.contexts.all())
-            counts.append(model.context_payload[wanted].astype("<u4").tobytes())
-            own, successor = t.pairs()
-            place = model.find(wanted[own], successor)
-            codes.append(np.where(place >= 0, model.payload[place] if model.successors.size else 0, 0).astype(np.uint8).tobytes())
-        return pa.table(
-            {
-                "block": table.column("block"), "shard": table.column("shard"),
-                "counts": pa.array(counts, pa.binary()), "codes": pa.array(codes, pa.binary()),
-            }
-        )
+        return route.sent(level, table.column("node")[0].as_py(), added_up(_tries(table))[0])
+
+    return run
+
+
+def _passed_back(route: Route, level: int):
+    def run(asked: pa.Table, answers: pa.Table) -> pa.Table:
+        node = asked.column("node")[0].as_py()
+        whole, of_context, of_pair = added_up(_tries(asked))
+        counts, codes = route.gathered(level, node, whole, answers)
+        return _answer_rows(node, asked, [counts[p] for p in of_context], [codes[p] for p in of_pair])
 
     return run
 
 
-def _scores(shards: int, hot: frozenset[int], tokens: int, distinct: int):
+def build(counted: Demand, totals: np.ndarray) -> bytes:
+    """One trie of the model; ``totals`` are the whole counts of hot contexts, 0 for others."""
+    used = np.flatnonzero(counted.n)
+    owner, n = counted.owner[used], counted.n[used]
+    whole = np.where(totals > 0, totals, counted.counts)
+    share = coded(np.log10(n) - np.log10(whole[owner] + PRIOR)) if len(used) else np.empty(0, np.uint8)
+    return Trie.encode(counted.contexts, counted.counts, owner, counted.successor[used], share)
+
+
+def _answers(route: Route):
+    def run(table: pa.Table) -> pa.Table:
+        asked = _tries(table)
+        counted, of_context, of_pair = added_up(asked)
+        model = Trie(mapped(build(counted, route.frequent(counted.contexts)[1])))
+        # Each distinct question is looked up once.
+        wanted = model.find_contexts(counted.contexts)
+        place = model.find(wanted[counted.owner], counted.successor)
+        codes = np.where(place >= 0, model.payload[place] if model.successors.size else 0, 0).astype(np.uint8)
+        counts = model.context_payload[wanted]
+        return _answer_rows(table.column("node")[0].as_py(), table, [counts[p] for p in of_context], [codes[p] for p in of_pair])
+
+    return run
+
+
+def _scores(route: Route, tokens: int, distinct: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(docs.column("text").to_pylist())
+        found, codes = route.gathered(0, docs.column("block")[0].as_py(), block.demand(), answers)
         counts = np.zeros(len(block.words))
         share = np.zeros(len(block.pairs))
-        found = {
-            s: (np.frombuffer(c, "<u4"), np.frombuffer(q, "<u1"))
-            for s, c, q in zip(*(answers.column(n).to_pylist() for n in ("shard", "counts", "codes")))
-        }
-        for shard, (contexts, at_home, own, _) in block.parts(shards, hot).items():
-            n, codes = found[shard]
-            counts[contexts[at_home]] = n[at_home]
-            share[own] = uncoded(codes)
+        counts[block.by_hash] = found
+        share[block.pair_order] = uncoded(codes)
         plain = (counts + 0.5) / (tokens + 0.5 * (distinct + 1))
         mixed = share + PRIOR / (counts[block.left] + PRIOR) * plain[block.right]
         texts = len(block.sizes)
@@ -225,18 +339,22 @@ def _scores(shards: int, hot: frozenset[int], tokens: int, distinct: int):
     return run
 
 
-def score_held_out(docs: DataFrame, folds: int = FOLDS, held: int = HELD_FOLD, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def score_held_out(
+    docs: DataFrame, folds: int = FOLDS, held: int = HELD_FOLD, block_tokens: int = BLOCK_TOKENS, fan: int = FAN
+) -> DataFrame:
     """Scores of all rows of ``docs(doc_id, text)`` by a model of those outside fold ``held``.
 
     Columns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``. A word's
     probability after another is its share of what follows there plus a weight for its own smoothed share, the
     weight falling with how often the context was seen (a Dirichlet prior of ``PRIOR`` tokens).
 
-    Documents are dealt into blocks by a hash. A block asks each shard for its distinct words and pairs, as
-    a small trie; a shard adds up the counts of all blocks, builds its trie of the model, maps it into memory
-    and answers with exact word counts and one byte per pair. Pairs lie with their context; contexts
-    above a quarter of a shard, at most four a shard, are spread by successor and their totals broadcast.
-    Words are known by 64-bit hashes, successors of a context by 40 bits.
+    Documents are dealt into blocks by a hash. A block asks the shards for its distinct words and pairs, as
+    small tries; a shard adds up all counts, builds its trie of the model, maps it into memory
+    and answers with exact word counts and one byte per pair. Demands and answers pass through nodes that
+    add up, so that each block, node and shard deals with at most ``fan`` others (``Route``): the rows between them grow
+    with the corpus and the number of levels, one level up to ``fan`` shards. Pairs lie with their context; contexts
+    above a quarter of a shard and above a ``HOT``-th of all tokens, fewer than ``HOT`` in all, are spread by
+    successor and their totals known to all tasks. Words are known by 64-bit hashes, successors of a context by 40 bits.
 
     Null and empty texts are one end token; a null doc_id is in no held-out fold, so it is learned from; repeated
     rows are each learned and scored; an empty table gives an empty one, a table with
@@ -253,20 +371,21 @@ def score_held_out(docs: DataFrame, folds: int = FOLDS, held: int = HELD_FOLD, b
     total = counts.where(F.col("word") != start).agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = total["n"] or 0, total["v"]
     shards = max(1, math.ceil(tokens / block_tokens))
-    hot = counts.where(F.col("n") * 4 * shards > tokens).collect() if shards > 1 else []
-    totals = {r["word"] % (1 << 64): r["n"] for r in hot}
-    names = frozenset(totals)
+    hot = counts.where(F.col("n") * min(4 * shards, HOT) > tokens).collect() if shards > 1 else []
+    route = Route.through(shards, fan, {r["word"] % (1 << 64): r["n"] for r in hot})
 
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("block")
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("long").alias("block")
     dealt = rows.select("doc_id", "text", "held_out", "train", block)
-    answers = (
-        dealt.groupBy("block")
-        .applyInArrow(_requests(shards, names), "block int, shard int, asked binary")
-        .groupBy("shard")
-        .applyInArrow(_answers(totals), "block int, shard int, counts binary, codes binary")
-    )
+    asked = [dealt.groupBy("block").applyInArrow(_requests(route), SENT)]
+    for level in range(1, route.levels):
+        # Read again on the way back.
+        asked[-1] = written(asked[-1], f"lm-asked-{level}")
+        asked.append(asked[-1].groupBy("node").applyInArrow(_passed_on(route, level), SENT))
+    answers = asked.pop().groupBy("node").applyInArrow(_answers(route), ANSWERED)
+    for level in range(route.levels - 1, 0, -1):
+        answers = asked.pop().groupBy("node").cogroup(answers.groupBy("node")).applyInArrow(_passed_back(route, level), ANSWERED)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scores(shards, names, tokens, distinct), schema)
+    return dealt.groupBy("block").cogroup(answers.groupBy("node")).applyInArrow(_scores(route, tokens, distinct), schema)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,43 @@ def test_trie_finds_what_it_holds_and_nothing_else():
     assert [None if p < 0 else trie.payload[p] for p in found] == [held.get(x) for x in ask]
 
 
+def test_demands_reach_their_shards_through_few_nodes():
+    """Whatever the number of shards, nobody has more than ``fan`` partners, and every pair and word arrives once at its shard."""
+    draw = np.random.default_rng(3)
+    for shards, fan in ((1, 4), (4, 4), (5, 4), (30, 4), (64, 4), (65, 4)):
+        words = np.unique(draw.integers(0, 2**64 - 1, 60, dtype=np.uint64))
+        route = lm.Route.through(shards, fan, {int(words[0]): 9, int(words[7]): 5})
+        assert route.fan <= fan and route.fan**route.levels >= shards
+        messages, asked, hot = {}, {}, {int(words[0]), int(words[7])}
+        for node in range(shards):
+            owner = np.sort(draw.integers(0, len(words), 80))
+            successor = draw.integers(0, 2**40, 80).astype(np.uint64)
+            order = np.lexsort((successor, owner))
+            asked[node] = lm.Demand(words, np.ones(len(words), np.int64), owner[order], successor[order], np.ones(80, np.int64))
+        wanted = Counter((int(words[o]), int(s)) for d in asked.values() for o, s in zip(d.owner, d.successor))
+        for level in range(route.levels):
+            senders = Counter()
+            messages = {}
+            for node, demand in asked.items():
+                table = route.sent(level, node, demand).to_pylist()
+                assert len(table) <= route.fan
+                for row in table:
+                    senders[row["node"]] += 1
+                    messages.setdefault(row["node"], []).append(Trie(row["asked"]))
+            assert max(senders.values()) <= route.fan
+            asked = {node: lm.added_up(tries)[0] for node, tries in messages.items()}
+        assert set(asked) <= set(range(shards))
+        counted, arrived = Counter(), Counter()
+        for node, demand in asked.items():
+            for h, c in zip(demand.contexts.tolist(), demand.counts.tolist()):
+                assert c == 0 or node == h % shards
+                counted[h] += c
+            for o, s, n in zip(demand.owner, demand.successor.tolist(), demand.n.tolist()):
+                assert node == int(demand.contexts[o]) % shards or int(demand.contexts[o]) in hot
+                arrived[int(demand.contexts[o]), s] += n
+        assert arrived == wanted and set(counted.values()) == {shards}
+
+
 def words_of(text):
     return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
 
@@ -76,11 +113,11 @@ def rounded(frame):
     return sorted(((*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in frame.collect()), key=str)
 
 
-@pytest.mark.parametrize("block_tokens", [10_000_000, 4_000])
-def test_documents_equal_dictionaries(spark, sf, block_tokens):
+@pytest.mark.parametrize("block_tokens, fan", [(10_000_000, 256), (4_000, 256), (4_000, 3)])
+def test_documents_equal_dictionaries(spark, sf, block_tokens, fan):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    out = lm.score_held_out(docs, block_tokens=block_tokens)
+    out = lm.score_held_out(docs, block_tokens=block_tokens, fan=fan)
     assert rounded(out) == plain_scores(rows)
     held = [r for r in out.collect() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
@@ -91,6 +128,7 @@ def test_edge_cases(spark):
     docs = spark.createDataFrame([(d, t, "n") for d, t in rows], "doc_id long, text string, train string")
     assert rounded(lm.score_held_out(docs)) == plain_scores(rows)
     assert rounded(lm.score_held_out(docs, block_tokens=700)) == plain_scores(rows)
+    assert rounded(lm.score_held_out(docs, block_tokens=700, fan=2)) == plain_scores(rows)
     assert lm.score_held_out(docs.where("false")).collect() == []
     nothing = [(d, "a b") for d in range(30) if zlib.crc32(str(d).encode()) % 5 == 1]
     frame = spark.createDataFrame(nothing, "doc_id long, text string")
