@@ -4,6 +4,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from codeloom.functions import clex
 from codeloom.functions.treeheight import BINARY, RIGHT, height_of
 from codeloom.operators import extract as X
 from codeloom.sources.tables import corpus_sources
@@ -270,3 +273,21 @@ def test_tree_height_of_broken_and_deep_texts(spark):
     rows = spark.createDataFrame([(1, None), (2, ""), (3, "int f(void) { }")], "i int, function_code string")
     assert [r.tree_height for r in X.with_tree_height(rows).orderBy("i").collect()] == [None, 0, 3]
     assert "Exchange" not in plan_of(X.with_tree_height(rows))
+
+
+def test_blocks_that_close_are_one_chunk(spark):
+    """The fold of a file takes a step per top-level block, not one per brace."""
+    body = "".join(f"  if (a{i}) {{ while (b) {{ go({i}); }} }}\n" for i in range(200))
+    text = f"#include <a.h>\n#define N 1\nstruct S {{ int z; }};\nint f(int a)\n{{\n{body}}}\nextern \"C\" {{ int g(void) {{ h(); }} }}\n"
+    df = spark.createDataFrame([("f.c", text)], SCHEMA)
+    assert df.select(clex.chunks(F.col("text"))).first()[0].__len__() < 12
+    fns = {r.function_name: r for r in X.extract_functions(df).collect()}
+    assert list(fns) == ["f", "g"]
+    f = fns["f"].ast_features
+    assert (f.if_count, f.loop_count, f.call_count, f.nesting_depth) == (200, 200, 200, 4)
+
+
+def test_depth_of_deep_and_open_brackets(spark):
+    cases = {"": 0, "()": 1, "{[()]()}": 3, "(" * 40 + ")" * 40: 40, "((": 2, ")((": 1, "(()" * 20: 21, "a" + "()" * 3000: 1}
+    rows = spark.createDataFrame(list(cases.items()), "clean string, depth int")
+    assert rows.where(clex.nesting_depth(F.col("clean")) != F.col("depth")).collect() == []
