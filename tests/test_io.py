@@ -177,3 +177,18 @@ def test_vector_store_rewrites_touched_buckets_only(spark, tmp_path):
         list(pool.map(lambda n: store.merge(rows([5000 + n, 6000], n)), range(4)))
     found = [r.id for r in store.read(rows([], 0)).collect()]
     assert len(found) == len(set(found)) and set(range(5000, 5004)) | {6000} <= set(found) and len(found) == 1001 + 4 + 5
+
+
+def test_written_sources_are_files_of_their_own(spark, tmp_path):
+    """One file per row without checksums or processes beside them; nulls and blank texts keep theirs."""
+    texts = ["int a;\n", "", None, "ä\r\n\n", "int b;"]
+    path = str(tmp_path / "sources")
+    io.write_sources(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), path)
+    assert len(os.listdir(path)) == len(texts) and all(n.endswith(".txt") for n in os.listdir(path))
+    found = io.read_sources(spark, path, "*.txt").collect()
+    assert sorted(r.text for r in found) == sorted((t or "") + "\n" for t in texts)
+    with pytest.raises(FileExistsError):
+        io.write_sources(spark.createDataFrame([("x",)], "text string"), path)
+    empty = str(tmp_path / "empty")
+    io.write_sources(spark.createDataFrame([], "text string"), empty)
+    assert io.read_sources(spark, empty, "*.txt").count() == 0
