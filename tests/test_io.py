@@ -192,3 +192,12 @@ def test_written_sources_are_files_of_their_own(spark, tmp_path):
     empty = str(tmp_path / "empty")
     io.write_sources(spark.createDataFrame([], "text string"), empty)
     assert io.read_sources(spark, empty, "*.txt").count() == 0
+
+
+def test_function_tables_as_json_are_compressed(spark, tmp_path):
+    code = "int f(void) { return 0; }\n" * 500
+    functions = X.extract_functions(spark.createDataFrame([("f.c", code)], "file_path string, text string"))
+    io.write_functions(functions, str(tmp_path / "f"), "json")
+    names = [n for n in os.listdir(tmp_path / "f") if n.endswith(".gz")]
+    assert names and sum(os.path.getsize(tmp_path / "f" / n) for n in names) < len(code)
+    assert io.read_functions(spark, str(tmp_path / "f")).count() == 500
