@@ -201,3 +201,23 @@ def test_function_tables_as_json_are_compressed(spark, tmp_path):
     names = [n for n in os.listdir(tmp_path / "f") if n.endswith(".gz")]
     assert names and sum(os.path.getsize(tmp_path / "f" / n) for n in names) < len(code)
     assert io.read_functions(spark, str(tmp_path / "f")).count() == 500
+
+
+def test_requests_move_compressed_and_without_a_join(spark, sf, tmp_path, capsys):
+    from codeloom.plans.workload import _requests
+
+    requests, _ = _requests(spark, sf)
+    requests.explain()
+    assert "Join" not in capsys.readouterr().out
+    code = "int f(void) { return 0; }\n" * 200
+    rows = [(1, code), (1, code), (2, None), (None, code), (None, code)]
+    spark.createDataFrame(rows, "request_id long, code string").coalesce(1).write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema("request_id long, code string").json(str(tmp_path / "in"))
+    first = jobs.first_requests(stream)
+    first.explain()
+    assert "deflate" in capsys.readouterr().out
+    first.writeStream.option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start(
+        str(tmp_path / "out"), format="parquet"
+    ).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.request_id or 0, r.code or "") for r in found) == [(0, code), (1, code), (2, "")]
