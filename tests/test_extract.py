@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -291,3 +292,12 @@ def test_depth_of_deep_and_open_brackets(spark):
     cases = {"": 0, "()": 1, "{[()]()}": 3, "(" * 40 + ")" * 40: 40, "((": 2, ")((": 1, "(()" * 20: 21, "a" + "()" * 3000: 1}
     rows = spark.createDataFrame(list(cases.items()), "clean string, depth int")
     assert rows.where(clex.nesting_depth(F.col("clean")) != F.col("depth")).collect() == []
+
+
+def test_tokens_of_more_text_are_ordered_by_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(X, "TOKENIZED_BYTES", 1000, raising=False)
+    src = spark.createDataFrame([(str(i), "a b;\n" * 100) for i in range(100)], SCHEMA)
+    tokens = X.tokenize_sources(src)
+    assert re.search(r"hashpartitioning\(file_path#\d+, 50\), REPARTITION_BY_NUM", plan_of(tokens))
+    assert tokens.count() == 100 * 500
+    assert X.tokenize_sources(src.limit(0)).count() == 0
