@@ -115,3 +115,29 @@ def test_pending_and_breakdown(spark):
     joined = df.join(done, "function_id", "left")
     counts = {r.source: r.n for r in L.source_breakdown(joined).collect()}
     assert counts == {"deterministic": 1, "error": 1, "unknown": 1}
+
+
+def test_a_reply_is_parsed_once(spark):
+    """Reading both fields of a parsed reply does not parse it again."""
+    replies = ['{"side_effects": ["io", "x"]}', '{"side_effects": {"memory": 1}}', "no", None, "[1]", '{"side_effects": [[1]]}']
+    df = spark.createDataFrame([(r,) for r in replies], "r string").withColumn("p", E.parse_effects_reply(F.col("r")))
+    read = df.select("r", F.col("p.effects").alias("effects"), F.col("p.status").alias("status"))
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") + plan.lower().count("parsejson") == 1
+    found = {r.r: (r.effects, r.status) for r in read.collect()}
+    assert found == {
+        replies[0]: (["io"], "valid"), replies[1]: (["memory"], "valid"), "no": (["none"], "default"),
+        None: (None, None), "[1]": (["none"], "error"), replies[5]: (["none"], "error"),
+    }
+
+
+def test_replies_of_events_without_a_user_keep_their_answers(spark, tmp_path):
+    from codeloom.plans.workload import QUERIES
+
+    rows = [(i, user, "{}") for user in (None, 2) for i in ((0, 1, 6, 9) if user is None else (10, 11, 16, 19))]
+    spark.createDataFrame(rows, "event_id long, user_id long, props string").write.parquet(str(tmp_path / "events.parquet"))
+    found = {r.event_id: (r.effects, r.status) for r in QUERIES["lab6_parse_effects_reply"](spark, str(tmp_path)).collect()}
+    assert found == {
+        0: ("none", "default"), 1: ("none", "default"), 6: ("none", "error"), 9: ("none", "default"),
+        10: ("hardware,io", "valid"), 11: ("hardware,hardware", "valid"), 16: ("none", "error"), 19: ("none", "error"),
+    }
