@@ -301,3 +301,20 @@ def test_tokens_of_more_text_are_ordered_by_more_tasks(spark, monkeypatch):
     assert re.search(r"hashpartitioning\(file_path#\d+, 50\), REPARTITION_BY_NUM", plan_of(tokens))
     assert tokens.count() == 100 * 500
     assert X.tokenize_sources(src.limit(0)).count() == 0
+
+
+def test_plain_files_are_cut_by_one_pattern_and_others_by_the_fold(spark):
+    plain = [
+        EDGE.replace("__attribute__((noinline))", "NOINLINE").replace("__attribute__((x))", ""),
+        "int k(int a) {\n#if A\n if (a) {\n#else\n if (b) {\n#endif\n }\n return zz();\n}\nint (*p(int a))(void) X\n#ifdef Y\n#endif\n{ }\n",
+        "int q(int);\nlong old(a, b)\n int a;\n char *b;\n{ m[a](1); }\nint x;\n",
+        "",
+    ]
+    other = ["int f(void) { if (x) {", EDGE, 'extern "C" {\nint w(void) { return 2; }\n}\n', "int f(void) {\n#else\n}\n", "int f(void) { 'x; }\n}"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(plain + other)], "i int, text string")
+    text, parts, chunk, scan = (F.col(c) for c in ("text", "_p", "_c", "_s"))
+    steps = rows.withColumns({"_p": clex.plain_parts(text), "_c": clex.chunks(text)}).withColumn("_s", clex.scan_chunks(chunk))
+    found = steps.select("i", clex.plain_definitions(parts).alias("one"), clex.definition_texts(chunk, scan).alias("two")).orderBy("i").collect()
+    assert [r.one is None for r in found] == [False] * len(plain) + [True] * len(other)
+    assert all(r.one == r.two for r in found[: len(plain)])
+    assert [len(r.one) for r in found[: len(plain)]] == [5, 2, 1, 0]
