@@ -318,3 +318,9 @@ def test_plain_files_are_cut_by_one_pattern_and_others_by_the_fold(spark):
     assert [r.one is None for r in found] == [False] * len(plain) + [True] * len(other)
     assert all(r.one == r.two for r in found[: len(plain)])
     assert [len(r.one) for r in found[: len(plain)]] == [5, 2, 1, 0]
+
+
+def test_long_files_without_plain_shape_are_read_in_one_go(spark):
+    texts = ["word " * 200_000, "M(a) int x; " * 20_000, "M(a) int x; " * 100 + "{ }", "}" * 50_000 + " int f(void) { }", "word " * 50_000 + "f(void) { }"]
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], SCHEMA)
+    assert X.function_slices(rows).groupBy("file_path").count().orderBy("file_path").collect() == [("2", 1), ("3", 1), ("4", 1)]
