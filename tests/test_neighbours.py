@@ -88,3 +88,57 @@ def test_bounds_hold():
     for c, members in enumerate(inside):
         assert (reach[:, c] >= (unit @ unit[members].T).max(axis=1) - 1e-9).all()
     assert all(sum(cells.rows[h]) > 7 for h in cells.homes(7))
+
+
+def test_hits_of_many_blocks_are_merged_before_they_are_ranked(spark):
+    rows = clustered(600, d=24)
+    frame = spark.createDataFrame(rows, VEC)
+    left = Q._blocks(frame, "id", "v", "labels", 1, "q", 24)
+    right = Q._blocks(frame, "id", "v", "labels", 20, "c", 24).coalesce(1)
+    hits = Q.block_products(left.crossJoin(right), 3, frame.schema["id"].dataType)
+    assert 3 * 600 <= hits.count() < 2 * 3 * 600
+    both(spark, rows, rows, 3, 20)
+
+
+def test_rough_products_give_the_same_best_columns():
+    import pyarrow as pa
+
+    draw = np.random.default_rng(8)
+    for d, n in ((4, 900), (40, 900), (40, 30)):
+        vectors = draw.normal(size=(n, d))
+        vectors[n // 2 :: 3] = vectors[1]
+        vectors[5::7] = vectors[5::7].round()
+        vectors[9] = 0
+        units = Q.Units(pa.array(vectors.ravel()), n)
+        same = np.arange(n), np.arange(n)
+        sims = np.round(units.double @ units.double.T, Q.SIMILARITY_DECIMALS)
+        sims[same] = -np.inf
+        rows, cols = Q.best_of_block(sims, 4)
+        got = Q.near_columns(units, slice(None), units, slice(None), 4, same, np.full(n, -np.inf))
+        assert (got[0] == rows).all() and (got[1] == cols).all() and (got[2] == sims[rows, cols]).all()
+
+
+def test_reached_cells_hold_all_near_rows():
+    draw = np.random.default_rng(6)
+    sample = draw.normal(size=(700, 4))
+    pivots = P.choose_pivots(sample, 15)
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    own = (unit @ pivots.T).argmax(axis=1)
+    angle = np.arccos(np.clip((unit * pivots[own]).sum(axis=1), -1, 1))
+    shell = (angle > np.median(angle)).astype(int)
+    names = sorted(set(zip(own.tolist(), shell.tolist())))
+    inside = [np.flatnonzero((own == p) & (shell == s)) for p, s in names]
+    cells = P.Cells(
+        pivots, np.array([-1] + [p for p, _ in names]), np.array([0] + [angle[i].min() for i in inside]),
+        np.array([0] + [angle[i].max() for i in inside]), np.array([1] + [len(i) for i in inside]), 10,
+    )
+    sims = unit @ unit.T
+    kth = np.sort(sims, axis=1)[:, -4]
+    need = cells.reached(unit, kth)
+    for c, members in enumerate(inside, 1):
+        assert (need[:, c] | (sims[:, members].max(axis=1) < kth)).all()
+    assert need[:, 1:].mean() < 0.5
+    assert cells.reached(unit, np.full(700, -2.0)).all()
+    assert not cells.reached(unit, kth)[kth > 0.1, 0].any()
+    first, blocks = P.dealt(np.array([3, 4, 25, 1, 9, 2]), 10)
+    assert first.tolist() == [0, 0, 1, 4, 4, 5] and blocks.tolist() == [1, 1, 3, 1, 1, 1]
