@@ -141,3 +141,14 @@ def test_replies_of_events_without_a_user_keep_their_answers(spark, tmp_path):
         0: ("none", "default"), 1: ("none", "default"), 6: ("none", "error"), 9: ("none", "default"),
         10: ("hardware,io", "valid"), 11: ("hardware,hardware", "valid"), 16: ("none", "error"), 19: ("none", "error"),
     }
+
+
+def test_limit_rows_computes_other_columns_only_for_rows_it_keeps(spark):
+    rows = [("b", 2, "3"), ("z", 1, "not a number"), ("b", 1, "2"), ("a", 1, "1"), (None, 5, "0"), ("y", 1, None)]
+    df = spark.createDataFrame(rows, "file_path string, fn_no int, v string").repartition(3)
+    df = df.withColumn("n", F.col("v").cast("int"))
+    assert [r["n"] for r in L.limit_rows(df, 3).collect()] == [0, 1, 2]
+    assert [r["n"] for r in L.limit_rows(df, 1).collect()] == [0]
+    assert [r["n"] for r in L.limit_rows(df.where("file_path < 'c'"), 9, "file_path", "n").collect()] == [1, 2, 3]
+    assert L.limit_rows(df.where("fn_no > 9"), 3).count() == 0
+    assert L.limit_rows(df, 0).count() == 0
