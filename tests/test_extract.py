@@ -324,3 +324,31 @@ def test_long_files_without_plain_shape_are_read_in_one_go(spark):
     texts = ["word " * 200_000, "M(a) int x; " * 20_000, "M(a) int x; " * 100 + "{ }", "}" * 50_000 + " int f(void) { }", "word " * 50_000 + "f(void) { }"]
     rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], SCHEMA)
     assert X.function_slices(rows).groupBy("file_path").count().orderBy("file_path").collect() == [("2", 1), ("3", 1), ("4", 1)]
+
+
+def test_plain_callees_are_those_of_the_full_pattern(spark):
+    rng = random.Random(7)
+    parts = ["f", "if", "x1", "2a", "do", "_Bool", "sizeof", "double", "é", "(", ")", "[", "]", ".", "->", "-", " ", " ", ";", "{", "}", ",", "*", ">", "f(", "g (", "a.b(", "p->q("]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(20_000)]
+    df = spark.createDataFrame([(re.sub(" +", " ", t),) for t in texts], "t string").where(~F.col("t").rlike(clex._AFTER_BRACKET))
+    found = [F.regexp_extract_all("t", F.lit(p), F.lit(1)) for p in (clex._PLAIN_CALL, clex._CALL)]
+    got = df.select("t", found[0].alias("plain"), found[1].alias("full")).collect()
+    assert len(got) > 10_000 and sum(len(r.full) > 1 for r in got) > 500
+    assert [r for r in got if r.plain != r.full] == []
+
+
+def test_any_run_of_blanks_is_one_space(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("a;\u00a0 \t\n\x0b\f\r", k=rng.randint(0, 12))) for _ in range(5_000)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", clex.squeezed(F.col("t")).alias("s")).collect()
+    assert [r for r in got if r.s != re.sub("[ \t\n\x0b\f\r]+", " ", r.t)] == []
+
+
+def test_statements_before_a_head_are_passed_over_only_where_a_brace_follows_at_once(spark):
+    def parts(text):
+        df = spark.createDataFrame([(text,)], "t string")
+        return df.select(clex.plain_definitions(clex.plain_parts(F.col("t"))).alias("p")).first().p
+
+    old = "int f(a)\n  int a; /* { */\n  char *b;\n{ return a; }"
+    assert parts(f"int x = g(1); {old}\nint h(void) {{ }}") == [old, "int h(void) { }"]
+    assert parts("int v = a ? (b) : c, w[2] = {1, 2}; void k(int q) { if (q) { q--; } }") == ["void k(int q) { if (q) { q--; } }"]
