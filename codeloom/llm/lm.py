@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -77,25 +78,28 @@ class Demand:
     n: np.ndarray
 
 
+class Numbers(dict):
+    """Numbers of words in the order they are met, after those of the start and the end."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self) + 2
+        return number
+
+
 class Block:
     """The distinct words and word pairs of some texts, and where they stand."""
 
     def __init__(self, texts: list[bytes | None]):
-        number: dict[bytes, int] = {}
-        hashes = [START, END]
-        flat: list[int] = []
+        numbers = Numbers()
+        flat = array("q")
         sizes = []
         for text in texts:
-            ids = []
-            for w in split_words((text or b"").lower()):
-                i = number.get(w)
-                if i is None:
-                    i = number[w] = len(hashes)
-                    hashes.append(word_hash(w))
-                ids.append(i)
-            flat += [0, *ids, 1]
-            sizes.append(len(ids) + 1)
-        self.words = np.array(hashes, np.uint64)
+            words = split_words((text or b"").lower())
+            flat.append(0)
+            flat.extend(map(numbers.__getitem__, words))
+            flat.append(1)
+            sizes.append(len(words) + 1)
+        self.words = np.array([START, END, *map(word_hash, numbers)], np.uint64)
         ids = np.array(flat, np.int64)
         self.sizes = np.array(sizes, np.int64)
         # Each token but the start with what stands before it.
@@ -109,7 +113,8 @@ class Block:
         self.by_hash = np.argsort(self.words, kind="stable")
         rank = np.empty_like(self.by_hash)
         rank[self.by_hash] = np.arange(len(self.by_hash))
-        self.pair_order = np.lexsort((self.words[self.right] & MASK, rank[self.left]))
+        key = (rank[self.left].astype(np.uint64) << np.uint64(LOW)) | (self.words[self.right] & MASK)
+        self.pair_order = np.argsort(key, kind="stable")
         self.owner = rank[self.left][self.pair_order]
 
     def demand(self, words: np.ndarray | None = None, pairs: np.ndarray | None = None) -> Demand:

@@ -133,3 +133,12 @@ def test_edge_cases(spark):
     nothing = [(d, "a b") for d in range(30) if zlib.crc32(str(d).encode()) % 5 == 1]
     frame = spark.createDataFrame(nothing, "doc_id long, text string")
     assert rounded(lm.score_held_out(frame)) == plain_scores(nothing)
+
+
+def test_block_numbers_words_as_they_come_and_orders_pairs_by_context_and_successor():
+    numbers = lm.Numbers()
+    assert [numbers[w] for w in (b"b", b"a", b"b", b"", b"a")] == [2, 3, 2, 4, 3] and list(numbers) == [b"b", b"a", b""]
+    block = lm.Block([b"b A b", None, b"", b"c b a " * 50])
+    assert block.words.tolist() == [lm.START, lm.END, *map(lm.word_hash, (b"b", b"a", b"c"))] and block.sizes.tolist() == [4, 1, 1, 151]
+    key = [(block.words[a], block.words[b] & lm.MASK) for a, b in zip(block.left, block.right)]
+    assert [key[i] for i in block.pair_order] == sorted(key)
