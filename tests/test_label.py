@@ -60,6 +60,42 @@ def test_replies(spark):
     assert [(r.p.effects, r.p.status) for r in got] == [(c[1], c[2]) for c in cases]
 
 
+def test_a_reply_is_a_result_only_as_a_whole(spark):
+    good = '{"side_effects": ["io"]}'
+    failed = [
+        good + " I hope this helps.", good + good, good + "//", good + "]", good + "] x", good + "}", good + ', "x"',
+        good + ',"0"]', good + "\n" + good, '["io"], ["io"]',
+    ]
+    read = ["\u00a0" + good + "\u2003", "\x1c" + good, "\u3000```json\n" + good + "\n```\u0085"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(failed + read)], "i int, raw string")
+    got = df.select("i", E.parse_effects_reply(F.col("raw")).alias("p")).orderBy("i").collect()
+    assert [(r.p.effects, r.p.status) for r in got] == [(["none"], "default")] * len(failed) + [(["io"], "valid")] * len(read)
+
+
+def test_scoring_leaves_failed_replies_without_rule_effects(spark):
+    from codeloom.operators import extract
+    from codeloom.plans import scoring
+    from codeloom.plans.workload import M, fixed_model
+
+    replies = {"a": '{"side_effects": ["io"]}', "b": "[1]", "c": None, "d": "none of them", "e": '{"side_effects": 4}'}
+
+    def generate(prompt):
+        name = prompt.split("f_", 1)[1][0]
+        if replies[name] is None:
+            raise RuntimeError("down")
+        return replies[name]
+
+    sources = spark.createDataFrame([(f"{n}.c", f"void f_{n}(void) {{ zz(); }}") for n in replies], "file_path string, text string")
+    functions = extract.extract_functions(sources)
+    scored = scoring.score_functions(
+        functions, M.fit_scaler(functions, M.feature_columns()), fixed_model(12), generate=generate,
+        encode=lambda df: df.withColumn("embedding", F.array(*[F.lit(0.5).cast("float")] * 4)), dim=12,
+    )
+    assert {r["name"][-1]: r["rule_side_effects"] for r in scored.collect()} == {
+        "a": ["io"], "b": None, "c": None, "d": ["none"], "e": None,
+    }
+
+
 def label(spark, rows, generate, chat):
     df = spark.createDataFrame(
         rows,
