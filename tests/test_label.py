@@ -140,6 +140,42 @@ def test_label_functions(spark):
         assert rows[key].labels.side_effects == ["none"]
 
 
+def test_both_turns_of_a_purpose_take_one_pass(spark):
+    def chat(messages):
+        if len(messages) == 1 and "quiet" in messages[0].get("content", ""):
+            return None
+        if len(messages) == 3 and "late" in messages[0].get("content", ""):
+            raise RuntimeError("gone")
+        return "|".join(f"{m['role']}:{m.get('content', '-')[-9:]}" for m in messages)
+
+    df = spark.createDataFrame([("a", "code"), ("b", "quiet"), ("c", "late"), ("d", None), ("e", "")], "k string, function_code string")
+    told = N.add_purpose(df, chat, on_error="none given")
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    found = {r.k: (r.high_level_purpose, r.purpose_error) for r in told.collect()}
+    end = "user:sentence."
+    assert found["a"] == (f"user:easoning.|assistant:easoning.|{end}", None)
+    assert found["b"] == ("none given", None)
+    assert found["c"] == ("none given", "RuntimeError: gone")
+    assert found["d"] == (f"user:-|assistant:user:-|{end}", None)
+    assert found["e"] == found["a"]
+
+
+def test_scoring_extracts_once(spark, tmp_path, monkeypatch):
+    from codeloom.plans import workload
+
+    calls = []
+    slices = workload.X.function_slices
+    monkeypatch.setattr(workload.X, "function_slices", lambda sources: calls.append(1) or slices(sources))
+    spark.createDataFrame(
+        [(1, n, 2, 3, 5.0 + n, 7.5) for n in range(1, 5)],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, "word and word")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    scored = workload.QUERIES["sco1_score_sources"](spark, str(tmp_path))
+    assert scored.count() == 9 and len(calls) == 1
+
+
 def test_pending_and_breakdown(spark):
     df = spark.createDataFrame([("a",), ("b",), ("c",)], "function_id string")
     done = spark.createDataFrame(
