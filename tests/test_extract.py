@@ -352,3 +352,19 @@ def test_statements_before_a_head_are_passed_over_only_where_a_brace_follows_at_
     old = "int f(a)\n  int a; /* { */\n  char *b;\n{ return a; }"
     assert parts(f"int x = g(1); {old}\nint h(void) {{ }}") == [old, "int h(void) { }"]
     assert parts("int v = a ? (b) : c, w[2] = {1, 2}; void k(int q) { if (q) { q--; } }") == ["void k(int q) { if (q) { q--; } }"]
+
+
+def test_callees_do_not_depend_on_blanks(spark):
+    """Bodies are searched as they stand; only those whose blanks matter to a callee are squeezed."""
+    bodies = [
+        "a.  b(1); c ->\n d(2); e >  f(3);", "x = (*p)\n\n(1); g\t(2);", "if  (a)  h (1);\nreturn\n\n k(2);", "a . b (c\n.\td(1));",
+        "(  *  fp ) ( 1 );  return  (  *q )(2);", "m[a[b]]  (1); f(1)  ->  g(2);", "x >\n\ny(1); z(2);", "plain(1);\n  other(2);\r\n",
+    ]
+    df = spark.createDataFrame([(b,) for b in bodies], "b string")
+    own, squeezed = clex.call_names(F.col("b")), clex.call_names(clex.squeezed(F.col("b")))
+    for r in df.select("b", own.alias("own"), squeezed.alias("squeezed")).collect():
+        assert r.own == r.squeezed and r.own, r.b
+    code = spark.createDataFrame([("int  f ( void )\n{\n  if (a)  return  g(1);\n}",)], "function_code string")
+    counts = X.function_facts(code).select("return_count")
+    assert "regexp_replace" in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert r"\G((?:\S+" not in counts._jdf.queryExecution().optimizedPlan().toString()
