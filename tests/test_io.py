@@ -221,3 +221,18 @@ def test_requests_move_compressed_and_without_a_join(spark, sf, tmp_path, capsys
     ).awaitTermination()
     found = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r.request_id or 0, r.code or "") for r in found) == [(0, code), (1, code), (2, "")]
+
+
+def test_code_is_unpacked_in_small_batches():
+    import zlib
+
+    import pyarrow as pa
+
+    texts = [b"x" * 3000, None, b"", b"y" * 10, b"z" * 5000, b"ab"] * 3
+    packed = pa.RecordBatch.from_pydict(
+        {"request_id": list(range(len(texts))), "code": pa.array([t if t is None else zlib.compress(t) for t in texts], pa.binary())}
+    )
+    made = list(jobs.in_small_batches(iter([packed, packed.slice(0, 0)]), "code", zlib.decompress, 4000))
+    assert [row for b in made for row in zip(*(c.to_pylist() for c in b.columns))] == list(enumerate(texts))
+    # No batch goes on once it has as many bytes.
+    assert all(sum(len(v or b"") for v in b.column(1).to_pylist()[:-1]) < 4000 for b in made) and len(made) > 3
