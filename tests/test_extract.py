@@ -368,3 +368,15 @@ def test_callees_do_not_depend_on_blanks(spark):
     counts = X.function_facts(code).select("return_count")
     assert "regexp_replace" in counts._jdf.queryExecution().optimizedPlan().toString()
     assert r"\G((?:\S+" not in counts._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tokens_of_a_tree_are_found_without_an_object_for_each():
+    from codeloom.functions import treeheight
+
+    assert treeheight._TOKEN.groups == 1
+    code = "a->b /* c */ <<= .5e+1 . x ... 'q' \"s\\\"\" // d\n \t[1] - -- @ sizeof é"
+    leaves = {"a", "b", ".5e+1", "x", "'q'", '"s\\""', "1", "sizeof"}
+    found = ["a", "->", "b", "<<=", ".5e+1", ".", "x", "...", "'q'", '"s\\""', "[", "1", "]", "-", "--", "sizeof"]
+    assert treeheight._tokens(code) == [(t, t in leaves) for t in found]
+    branches = "#if A\na\n#elif B\nb\n#else\nc\n#endif\nd"
+    assert treeheight._tokens(branches) == [("a", True), ("d", True)]
